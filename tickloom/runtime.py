@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +77,21 @@ def block_keys(order: Column, block: int, halo: int = 0) -> Column:
     first = F.greatest(F.lit(0), F.floor((order - F.lit(halo)) / F.lit(block)))
     last = F.greatest(F.lit(0), F.floor((order + F.lit(halo)) / F.lit(block)))
     return F.sequence(first.cast("bigint"), last.cast("bigint"))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application; they need no copy of the repository."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tickloom-")) / "tickloom.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*")):
+            if p.suffix in (".py", ".yaml"):
+                z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(target))
