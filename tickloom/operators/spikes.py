@@ -268,7 +268,8 @@ def implausible(x: np.ndarray, t: np.ndarray, limits: dict[str, float], rules: R
     if len(at) < 2:
         return flags
     y = x[at].astype(np.float64)
-    same = np.concatenate([[0], (y[1:] == y[:-1]).astype(np.int8), [0]])
+    # same[i] tells whether reading i repeats the one before it; a run of them is begin..end - 1
+    same = np.concatenate([[0, 0], (y[1:] == y[:-1]).astype(np.int8), [0]])
     begin, end = np.flatnonzero(np.diff(same) == 1), np.flatnonzero(np.diff(same) == -1)
     stuck = np.zeros(len(y), bool)
     for a, b in zip(begin, end, strict=True):
