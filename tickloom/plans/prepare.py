@@ -47,7 +47,7 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     old = dataset.read_manifest(spark, root)
     empty = spark.createDataFrame([], "rel_path string, task string, episode_index bigint, task_index bigint, length bigint")
     reuse = not reconvert and old is not None and planner.may_reuse(dataset.read_params(root), params, strict)
-    before = old.select(empty.columns) if reuse else empty
+    before = _held(old.select(empty.columns)) if reuse else empty
     plan = planner.plan(request, before, "rel_path", "task", "episode_index")
     if not plan.removed.isEmpty():
         reuse, before = False, empty
@@ -59,10 +59,9 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     index = plan.task_index.select("task", "task_index")
     converted = order.withColumn("episode_index", F.col("next_index") + F.col("_p")).join(index, "task").select("rel_path", "episode_id", "task", "episode_index", "task_index", "length")
     new_frames = frames.join(converted.select("episode_id", "episode_index", "task_index"), "episode_id").select("episode_index", "frame_index", "task_index", "`observation.state`", "action")
-    kept = None
+    all_frames = _narrow(new_frames)
     if reuse and not before.isEmpty():
-        kept = dataset.read_frames(spark, root).select("episode_index", "frame_index", "task_index", "`observation.state`", "action")
-    all_frames = new_frames if kept is None else kept.select(*new_frames.columns).unionByName(new_frames.withColumn("observation.state", F.col("`observation.state`").cast("array<float>")).withColumn("action", F.col("action").cast("array<float>")))
+        all_frames = _narrow(dataset.read_frames(spark, root)).unionByName(all_frames)
     manifest = _held(planner.merge_manifest(before, converted.select(empty.columns)))
     all_frames = _held(all_frames)
     if dataset.dataset_exists(root):
@@ -70,6 +69,11 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     return dataset.write_root(all_frames, index, schema, root, params, manifest)
 
 
+def _narrow(frames: DataFrame) -> DataFrame:
+    vectors = [F.col(f"`{c}`").cast("array<float>").alias(c) for c in ("observation.state", "action")]
+    return frames.select("episode_index", "frame_index", "task_index", *vectors)
+
+
 def _held(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: what is read must not change while its source is rewritten."""
     from tickloom.runtime import materialize

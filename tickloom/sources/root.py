@@ -106,7 +106,9 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
         F.col("`observation.state`").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"),
         *[F.col(f"`{c}`") for c in frames.columns if c.startswith("depth.")],
     )
-    sorted_frames = full.repartition("episode_index").sortWithinPartitions("episode_index", "frame_index")
+    names = full.columns
+    # mapInArrow takes no column names with dots; the tasks put the real ones back
+    sorted_frames = full.repartition("episode_index").sortWithinPartitions("episode_index", "frame_index").toDF(*(c.replace(".", "_") for c in names))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -122,7 +124,7 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
                 path = Path(root) / DATA_PATH.format(chunk=number // CHUNK_FILES, file=number)
                 path.parent.mkdir(parents=True, exist_ok=True)
                 part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-                pq.write_table(table.slice(at, end - at), part)
+                pq.write_table(table.slice(at, end - at).rename_columns(names), part)
                 part.rename(path)
                 at = end
             return None
