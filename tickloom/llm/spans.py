@@ -83,8 +83,9 @@ def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     groups = keyed.groupBy("digest").agg(F.min("doc_id").alias("rep"), (F.min("doc_id") != F.max("doc_id")).alias("copied"))
     members = keyed.join(groups, "digest").select("doc_id", "rep", "n_chars", "copied", "digest")
     reps = members.where("doc_id = rep").select("rep", "digest").distinct()
-    texts = rows.select("doc_id", "text", F.sha2("text", 256).alias("digest")).join(reps, "digest").where("doc_id = rep").groupBy("digest").agg(F.min("rep").alias("rep"), F.min("text").alias("text"))
-    return texts.select("digest", "rep", "text"), members.distinct()
+    # joined by id and digest, so that the texts of a large group of copies do not meet anywhere
+    own = rows.select("doc_id", "text", F.sha2("text", 256).alias("digest")).join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
+    return own.dropDuplicates(["digest"]).select("digest", F.col("doc_id").alias("rep"), "text"), members.distinct()
 
 
 def _points(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
