@@ -183,7 +183,8 @@ def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text
     for number in range(passes):
         part = _probe(numbered, size, bits, number, passes)
         windows = part if windows is None else windows.unionByName(part)
-    anchors = _in_two(windows, ["hash"]).select("rep", "place")
+    # read twice, by the grouping and by the join: kept, so that the texts are hashed once
+    anchors = _in_two(materialize(windows, "span-windows"), ["hash"]).select("rep", "place")
     places = anchors.groupBy("rep").agg(F.collect_list("place").alias("places"))  # at most one a code point
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
