@@ -85,3 +85,8 @@ def fifo_pair(frames: DataFrame, times: DataFrame, keys: list[str], position: st
 
 def stretch_of(time: Column, size: int) -> Column:
     return int_bucket(time, size)
+
+
+def camera_pointers(ticks: DataFrame, frames: DataFrame, keys: list[str], time: str, frame: str, step: int) -> DataFrame:
+    """For each tick the number of the camera frame that shows it; pixels are joined by number afterwards."""
+    return floor_align(ticks, frames, keys, time, [frame], frame, step)

@@ -91,3 +91,9 @@ def clip(frames: DataFrame, keys: list[str], time: str, order: list, from_time,
     later = frames.where(F.col(time).isNull() | (F.col(time) >= from_time))
     out = first_n(later, keys, order, n)
     return out if length is None else out.where(F.col("place") <= F.col(length))
+
+
+def first_shapes(records: DataFrame, order: str, shapes: str = "depth_shapes") -> DataFrame:
+    """camera and the shape of the first record that gives one; cameras without any are absent."""
+    each = records.where(F.col(shapes).isNotNull()).select(F.col(order).alias("_o"), F.explode(shapes).alias("camera", "shape"))
+    return each.where("shape is not null").groupBy("camera").agg(F.min_by("shape", "_o").alias("shape"))

@@ -81,3 +81,15 @@ def _channelwise(image: Column, means: list[float], stds: list[float]) -> Column
         return F.get(F.array(*(F.lit(float(v)) for v in values)), (i / area).cast("int"))
 
     return F.transform(image, lambda x, i: F.try_divide(x.cast("double") - of_channel(means, i), of_channel(stds, i)))
+
+
+def visual_features(cameras: list[str], depth_cameras: list[str], height: int, width: int) -> dict[str, tuple[int, int, int]]:
+    """Declared shapes of all image inputs: channel first and always three channels, depth cameras too."""
+    names = [*cameras, *(f"depth_{c}" for c in depth_cameras)]
+    return {f"observation.images.{n}": (3, height, width) for n in names}
+
+
+def prefixed(df: DataFrame, video_keys: list[str], depth_keys: list[str] = (), prefix: str = "observation.images.") -> DataFrame:
+    """Video columns under prefix, unless they have it already; `depth.<k>` as prefix + `depth_<k>`. Others keep their names."""
+    names = {k: k if k.startswith(prefix) else prefix + k for k in video_keys} | {f"depth.{k}": f"{prefix}depth_{k}" for k in depth_keys}
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k != v})

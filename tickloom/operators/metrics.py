@@ -131,3 +131,9 @@ def indexed_metrics(df: DataFrame, keys: list[str], name: str, values: str) -> D
 def history_tail(history: DataFrame, time: str, tie: list[str], n: int) -> DataFrame:
     """The last n runs, oldest first."""
     return history.orderBy(F.desc(time), *(F.desc(t) for t in tie)).limit(n).orderBy(time, *tie)
+
+
+def metric_rows(df: DataFrame, prefix: str, step: str, names: list[str], keys: list[str] = ()) -> DataFrame:
+    """Wide reports as long rows: keys, step, 'prefix/name', value. Nulls are not reported. For sinks that append."""
+    pairs = F.array(*(F.struct(F.lit(f"{prefix}/{n}").alias("name"), F.col(n).cast("double").alias("value")) for n in names))
+    return df.select(*keys, F.col(step).alias("step"), F.inline(pairs)).where("value is not null")

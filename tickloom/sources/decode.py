@@ -1,0 +1,89 @@
+"""Optional decoders: HDF5 components, videos and depth images. Each needs a library that may be absent.
+
+Rows that cannot be decoded come out with an error, so that the rest of a batch
+is kept.
+"""
+
+from __future__ import annotations
+
+import importlib
+import io
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickloom.functions.udf import flat_map, tolerant
+
+
+class MissingDecoder(RuntimeError):
+    """A library that this format needs is not installed."""
+
+
+def library(name: str):
+    try:
+        return importlib.import_module(name)
+    except ImportError as e:
+        raise MissingDecoder(f"reading this format needs the library {name!r}") from e
+
+
+def hdf5_vectors(content: bytes, paths: list[str]) -> np.ndarray:
+    """Datasets side by side, one row a tick; more than two dimensions are flattened."""
+    h5py = library("h5py")
+    with h5py.File(io.BytesIO(content), "r") as f:
+        parts = [np.asarray(f[p], np.float64) for p in paths]
+    return np.concatenate([p.reshape(len(p), -1) for p in parts], axis=1)
+
+
+def hdf5_rows(members: DataFrame, paths: list[str]) -> DataFrame:
+    """name, frame_index, vector, error of the HDF5 members (name, content)."""
+
+    def rows(row: dict) -> Iterator[dict]:
+        for i, v in enumerate(hdf5_vectors(row["content"], paths)):
+            yield {"name": row["name"], "frame_index": i, "vector": v.tolist()}
+
+    return flat_map(members.select("name", "content"), tolerant(rows), "name string, frame_index bigint, vector array<double>, error string")
+
+
+def video_frames(content: bytes, height: int, width: int) -> Iterator[np.ndarray]:
+    """RGB frames of a video in decode order, resized if need be."""
+    av = library("av")
+    with av.open(io.BytesIO(content)) as box:
+        for frame in box.decode(video=0):
+            yield frame.reformat(width=width, height=height, format="rgb24").to_ndarray()
+
+
+def video_rows(members: DataFrame, height: int, width: int) -> DataFrame:
+    """name, frame_index, image (height x width x 3 bytes), error of the video members (name, content)."""
+
+    def rows(row: dict) -> Iterator[dict]:
+        for i, x in enumerate(video_frames(row["content"], height, width)):
+            yield {"name": row["name"], "frame_index": i, "image": x.tobytes()}
+
+    return flat_map(members.select("name", "content"), tolerant(rows), "name string, frame_index bigint, image binary, error string", batch_size=16)
+
+
+def nearest_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Rows and columns picked, never mixed: depths stay depths."""
+    y = np.minimum((np.arange(height) + 0.5) * image.shape[0] // height, image.shape[0] - 1).astype(int)
+    x = np.minimum((np.arange(width) + 0.5) * image.shape[1] // width, image.shape[1] - 1).astype(int)
+    return image[y][:, x]
+
+
+def depth_rows(members: DataFrame, height: int, width: int) -> DataFrame:
+    """Depth images (name, content) numbered in the order of the digits in their names: episode folder, frame_index, depth, error."""
+    from pyspark.sql import Window as W
+
+    from tickloom.functions.scalars import trailing_number
+
+    folder = F.regexp_extract("name", r"^(.*)/[^/]*$", 1)
+    order = W.partitionBy("folder").orderBy("number", "name")
+    numbered = members.select("name", "content", folder.alias("folder"), trailing_number(F.col("name")).alias("number")).where("number is not null")
+    placed = numbered.withColumn("frame_index", (F.row_number().over(order) - 1).cast("bigint"))
+
+    def rows(row: dict) -> Iterator[dict]:
+        image = np.asarray(library("PIL.Image").open(io.BytesIO(row["content"])))
+        yield {"folder": row["folder"], "frame_index": row["frame_index"], "depth": nearest_resize(image, height, width).astype(np.int64).ravel().tolist()}
+
+    return flat_map(placed.select("folder", "frame_index", "content"), tolerant(rows), "folder string, frame_index bigint, depth array<bigint>, error string", batch_size=64)
