@@ -6,8 +6,9 @@ fall is a reset: the counter began again at zero. For levels (positions,
 temperatures) the increments are signed, and their running total at a cell
 border is the level interpolated there. Cells without a reading are marked.
 
-All of it is one union and one grouped sum, so partial aggregation applies and
-no series has to fit into a task.
+Readings are shuffled once, by block of their series; what one block needs of
+the one before it is a single row. The rest is one union and one grouped sum, so
+partial aggregation applies and no series has to fit into a task.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.runtime import lookup_join
+from tickloom.runtime import lookup_join, materialize
 
 #: Ticks in one block: a series is differenced block by block.
 BLOCK = 4096
@@ -47,20 +48,6 @@ def readings(messages: DataFrame, spans: DataFrame, payload: str = "value") -> D
     return lookup_join(sent, spans, "episode_id").where("log_time >= start_ns and log_time < end_ns")
 
 
-def with_previous(df: DataFrame, keys: list[str], block: str, order: list[str], columns: list[str], name: str) -> DataFrame:
-    """Add, as struct name, the given columns of the row before each row of a series; null for its first.
-
-    Rows are compared inside blocks; the last row of each block is handed on to
-    the next block that has any. No task sees more than a block of a series.
-    """
-    before = F.struct(*columns)
-    inside = W.partitionBy(*keys, block).orderBy(*order)
-    last = df.groupBy(*keys, block).agg(F.max_by(before, F.struct(*order)).alias("_last"))
-    handed = last.select(*keys, block, F.lag("_last").over(W.partitionBy(*keys).orderBy(block)).alias("_handed"))
-    marked = df.withColumn("_inside", F.lag(before).over(inside))
-    return marked.join(handed, [*keys, block], "left").withColumn(name, F.coalesce("_inside", "_handed")).drop("_inside", "_handed")
-
-
 def _explode_ticks(df: DataFrame, first: Column, last: Column) -> DataFrame:
     """One row per tick from first to last, by way of blocks, so that no long array is built."""
     blocks = df.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
@@ -69,7 +56,49 @@ def _explode_ticks(df: DataFrame, first: Column, last: Column) -> DataFrame:
     return blocks.withColumn("tick", F.explode(inside)).drop("_first", "_last", "_block")
 
 
-def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame, kind: str = "level", width: int = 8) -> DataFrame:
+def _numbers(column: str, width: int) -> list[Column]:
+    """The elements of an array as columns: sums of them stay in the hash aggregate, where arrays would need a sort."""
+    return [F.get(column, F.lit(i)) for i in range(width)]
+
+
+def _vector(parts: str, width: int) -> Column:
+    return F.slice(F.array(*(F.col(f"{parts}_{i}") for i in range(width))), F.lit(1), F.col("dim"))
+
+
+def distinct_readings(read: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Readings once each, with `before`: log_time and value of the reading before it in its block.
+
+    Blocks of a series are placed first; removing repeats and looking back both
+    work within them, so the readings are shuffled once.
+    """
+    placed = read.withColumn("tick", F.expr("(log_time - start_ns) div step")).withColumn("block", F.expr(f"tick div {BLOCK}")).withColumn("seq", F.coalesce("seq", F.lit(-1)))
+    too_wide = F.raise_error(F.concat(F.lit(f"a vector is wider than {width}: "), F.size("value").cast("string"))).cast("int")
+    once = (
+        placed.repartition(*keys, "block")
+        .groupBy(*keys, "block", "tick", "log_time", "seq", "start_ns", "end_ns", "step")
+        .agg(F.max(F.when(F.size("value") > width, too_wide).otherwise(F.size("value"))).alias("dim"), *(F.max(x).alias(f"value_{i}") for i, x in enumerate(_numbers("value", width))))
+        .withColumn("value", _vector("value", width))
+        .drop(*(f"value_{i}" for i in range(width)))
+    )
+    return once.withColumn("before", F.lag(F.struct("log_time", "value")).over(W.partitionBy(*keys, "block").orderBy("log_time", "seq")))
+
+
+def look_back(read: DataFrame, keys: list[str]) -> DataFrame:
+    """Fill `before` of each block's first reading from the last reading of the block before it that has any."""
+    last = read.groupBy(*keys, "block").agg(F.max_by(F.struct("log_time", "value"), F.struct("log_time", "seq")).alias("_last"))
+    handed = last.select(*keys, "block", F.lag("_last").over(W.partitionBy(*keys).orderBy("block")).alias("_handed"))
+    return read.join(handed, [*keys, "block"]).withColumn("before", F.coalesce("before", "_handed")).drop("_handed")
+
+
+def widest(schemas: DataFrame) -> int:
+    """The widest component of all schemas; a table of a few rows."""
+    if not {"state_components", "action_components"} <= set(schemas.columns):
+        return 8
+    dims = schemas.select(F.explode(F.concat("state_components", "action_components")).alias("c")).agg(F.max("c.dim")).first()[0]
+    return max(1, dims or 1)
+
+
+def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame, kind: str = "level", width: int | None = None) -> DataFrame:
     """One row per recording, topic and tick of the source's tick_fps.
 
     Columns: episode_id, topic, tick, n_readings, missing (no reading in the
@@ -79,26 +108,20 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
     readings), resets (counters that began again).
 
     kind is 'level' or 'counter'. width is the number of vector components kept
-    apart; a longer vector is an error. Topics without a reading in a recording
-    have no grid. Repeated messages count once; of messages with the same
-    log_time and seq one holds. Null or empty value and null log_time are no
-    readings; a component that is NaN or null in a reading makes the increments
-    on both sides of it null. Extra columns are ignored.
+    apart, that of the widest schema component if not given; a longer vector is
+    an error. Topics without a reading in a recording have no grid. Repeated
+    messages count once; of messages with the same log_time and seq the greatest
+    numbers hold. Null or empty value and null log_time are no readings; a
+    component that is null in a reading takes no part in the increments on both
+    sides of it, one that is NaN makes them NaN. Extra columns are ignored.
     """
     if kind not in ("level", "counter"):
         raise ValueError(f"kind must be 'level' or 'counter', not {kind!r}")
     keys = ["episode_id", "topic"]
-    spans = recording_spans(recordings, schemas)
-    read = (
-        readings(messages.select(*keys, "log_time", "seq", F.col("value").cast("array<double>").alias("value")), spans)
-        .where(F.col("topic").isNotNull())
-        .groupBy(*keys, "log_time", F.coalesce("seq", F.lit(-1)).alias("seq"), "start_ns", "end_ns", "step")
-        .agg(F.max("value").alias("value"))
-        .withColumn("tick", F.expr("(log_time - start_ns) div step"))
-        .withColumn("block", F.expr(f"tick div {BLOCK}"))
-    )
-    too_wide = F.raise_error(F.concat(F.lit(f"a vector is wider than {width}: "), F.size("value").cast("string"))).cast("int")
-    read = read.withColumn("dim", F.when(F.size("value") > width, too_wide).otherwise(F.size("value")))
+    width = width or widest(schemas)
+    sent = messages.where(F.col("topic").isNotNull()).select(*keys, "log_time", "seq", F.col("value").cast("array<double>").alias("value"))
+    # three passes read it: kept in the shared folder, so that messages are shuffled once
+    read = materialize(distinct_readings(readings(sent, recording_spans(recordings, schemas)), keys, width), "readings")
 
     # the grid itself
     series = read.groupBy(*keys, "start_ns", "end_ns", "step").agg(
@@ -113,44 +136,34 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
         F.when(F.expr("start_ns + tick * step <= first_time"), F.col("first_value")).otherwise(F.col("last_value")).alias("edge"),
     )
 
-    # the increments between consecutive readings
-    moves = with_previous(read, keys, "block", ["log_time", "seq"], ["log_time", "value"], "before").where("before is not null and log_time > before.log_time")
+    # each reading: a mark in its tick, and its increment over the ticks since the reading before
     fell = lambda a, b: (b < a) if kind == "counter" else F.lit(False)
-    moves = moves.select(
-        *keys, "start_ns", "step", F.col("before.log_time").alias("t0"), F.col("log_time").alias("t1"), "dim",
-        F.col("before.value").alias("v0"), F.col("value").alias("v1"),
+    moves = look_back(read, keys).select(
+        *keys, "start_ns", "step", "dim", F.coalesce("before.log_time", "log_time").alias("t0"), F.col("log_time").alias("t1"), "before.value", F.col("tick").alias("own"),
         F.zip_with("before.value", "value", lambda a, b: F.when(fell(a, b), b).otherwise(b - a)).alias("delta"),
-        F.exists(F.zip_with("before.value", "value", lambda a, b: F.coalesce(fell(a, b), F.lit(False))), lambda x: x).alias("fell"),
-    )
-    cells = _explode_ticks(moves, F.expr("(t0 - start_ns) div step"), F.expr("(t1 - start_ns) div step"))
+        F.coalesce(F.exists(F.zip_with("before.value", "value", lambda a, b: F.coalesce(fell(a, b), F.lit(False))), lambda x: x), F.lit(False)).alias("fell"),
+    ).withColumnRenamed("value", "v0")
+    cells = _explode_ticks(moves, F.expr("(t0 - start_ns) div step"), F.col("own"))
     cells = (
         cells.withColumn("c0", F.expr("start_ns + tick * step"))
         .withColumn("overlap", F.greatest(F.lit(0), F.least("t1", F.expr("c0 + step")) - F.greatest("t0", "c0")))
-        .withColumn("ratio", F.col("overlap") / (F.col("t1") - F.col("t0")))
-        .withColumn("so_far", (F.col("c0") - F.col("t0")) / (F.col("t1") - F.col("t0")))
+        .withColumn("ratio", F.try_divide(F.col("overlap").cast("double"), F.col("t1") - F.col("t0")))
+        .withColumn("so_far", F.try_divide((F.col("c0") - F.col("t0")).cast("double"), F.col("t1") - F.col("t0")))
     )
     # a fall of a counter has no level between its ends; the reading before it holds on
     level = F.transform(F.arrays_zip("v0", "delta"), lambda z: z["v0"] + F.when(F.col("fell"), F.lit(0.0)).otherwise(z["delta"]) * F.col("so_far"))
+    own = F.col("own") == F.col("tick")
     spread = cells.select(
-        *keys, "tick", F.lit(0).alias("n"), (F.col("fell") & (F.expr("(t1 - start_ns) div step") == F.col("tick"))).cast("int").alias("reset"),
-        (F.col("overlap") / F.col("step")).alias("share"), F.transform("delta", lambda d: d * F.col("ratio")).alias("part"),
-        F.when((F.col("c0") >= F.col("t0")) & (F.col("c0") < F.col("t1")), level).alias("at_start"), "dim", nothing.alias("edge"),
+        *keys, "tick", own.cast("int").alias("n"), (F.col("fell") & own).cast("int").alias("reset"), (F.col("overlap") / F.col("step")).alias("share"),
+        F.transform("delta", lambda d: d * F.col("ratio")).alias("part"), F.when((F.col("c0") >= F.col("t0")) & (F.col("c0") < F.col("t1")), level).alias("at_start"), "dim", nothing.alias("edge"),
     )
-    marks = read.select(*keys, "tick", F.lit(1).alias("n"), F.lit(0).alias("reset"), F.lit(0.0).alias("share"), nothing.alias("part"), nothing.alias("at_start"), "dim", nothing.alias("edge"))
-
-    summed = (
-        grid.unionByName(spread)
-        .unionByName(marks)
-        .groupBy(*keys, "tick")
-        .agg(
-            F.sum("n").alias("n_readings"), F.sum("reset").alias("resets"), F.sum("share").alias("covered"), F.max("dim").alias("dim"), F.max("edge").alias("edge"),
-            F.array(*(F.sum(F.get("part", F.lit(i))) for i in range(width))).alias("part"),
-            F.max("at_start").alias("at_start"),
-        )
+    summed = grid.unionByName(spread).groupBy(*keys, "tick").agg(
+        F.sum("n").alias("n_readings"), F.sum("reset").alias("resets"), F.sum("share").alias("covered"), F.max("dim").alias("dim"),
+        *(F.sum(x).alias(f"{name}_{i}") for name in ("part", "at_start", "edge") for i, x in enumerate(_numbers(name, width))),
     )
+    # at most one span begins before and ends after the start of a tick, so each of these sums has one term
+    value = F.transform(F.arrays_zip(_vector("at_start", width).alias("s"), _vector("edge", width).alias("e")), lambda z: F.coalesce(z["s"], z["e"]))
     return summed.select(
-        *keys, "tick", "n_readings", (F.col("n_readings") == 0).alias("missing"),
-        F.coalesce("at_start", "edge").alias("value"),
-        F.when(F.col("covered") > 0, F.slice("part", F.lit(1), F.col("dim"))).alias("increment"),
-        F.least(F.lit(1.0), "covered").alias("covered"), "resets",
+        *keys, "tick", "n_readings", (F.col("n_readings") == 0).alias("missing"), value.alias("value"),
+        F.when(F.col("covered") > 0, _vector("part", width)).alias("increment"), F.least(F.lit(1.0), "covered").alias("covered"), "resets",
     )
