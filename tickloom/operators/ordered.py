@@ -33,25 +33,22 @@ def running(df: DataFrame, keys: list[str], order: list, bucket: Column, name: s
     """
     how_of = {"sum": F.sum, "min": F.min, "max": F.max}[how]
     two = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "min": F.least, "max": F.greatest}[how]
-    marked = df.withColumn("_bucket", bucket).withColumn("_value", value)
-    totals = marked.groupBy(*keys, "_bucket").agg(how_of("_value").alias("_total"))
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_bucket", how_of("_total").over(earlier).alias("_carried"))
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    local = marked.withColumn("_local", how_of("_value").over(inside))
-    same = [local[c].eqNullSafe(carried[c]) for c in (*keys, "_bucket")]
-    condition = same[0]
-    for part in same[1:]:
-        condition &= part
-    joined = local.join(carried.select(*(carried[c].alias(f"_c_{c}") for c in (*keys, "_bucket")), "_carried"), _null_safe(local, [*keys, "_bucket"]), "left")
-    return joined.withColumn(name, two(F.col("_local"), F.col("_carried"))).select(*df.columns, name)
-
-
-def _null_safe(left: DataFrame, names: list[str]) -> Column:
-    out = F.lit(True)
-    for c in names:
-        out &= F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-    return out
+    # one struct is the key of the window, the totals and the join: the rows are shuffled once, and null keys are keys
+    marked = df.withColumn("_part", _part(keys, bucket)).withColumn("_value", value)
+    totals = marked.groupBy("_part").agg(how_of("_value").alias("_total"))
+    earlier = W.partitionBy(*(f"_part.{c}" for c in _names(keys))).orderBy("_part._bucket").rowsBetween(W.unboundedPreceding, -1)
+    carried = totals.select("_part", how_of("_total").over(earlier).alias("_carried"))
+    inside = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    joined = marked.withColumn("_local", how_of("_value").over(inside)).join(carried, "_part")
+    return joined.withColumn(name, two(F.col("_local"), F.col("_carried"))).select(*(f"`{c}`" for c in df.columns), name)
+
+
+def _names(keys: list[str]) -> list[str]:
+    return [f"k{i}" for i in range(len(keys))]
+
+
+def _part(keys: list[str], bucket: Column) -> Column:
+    return F.struct(*(F.col(f"`{k}`").alias(n) for k, n in zip(keys, _names(keys), strict=True)), bucket.alias("_bucket"))
 
 
 def numbered(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str = "position") -> DataFrame:
@@ -76,14 +73,14 @@ def asof(ticks: DataFrame, events: DataFrame, keys: list[str], time: str, tie: l
         *keys, F.col(time).alias("_t"), F.lit(1).alias("_tick"), F.lit(None).cast(e.schema["_tie"].dataType).alias("_tie"),
         F.lit(None).cast(e.schema["_event"].dataType).alias("_event"), F.struct(*(F.col(f"`{c}`") for c in ticks.columns)).alias("_row"),
     )
-    both = e.unionByName(t).withColumn("_bucket", int_bucket(F.col("_t"), bucket_size))
-    inside = W.partitionBy(*keys, "_bucket").orderBy("_t", "_tick", "_tie").rowsBetween(W.unboundedPreceding, 0)
+    both = e.unionByName(t).withColumn("_part", _part(keys, int_bucket(F.col("_t"), bucket_size)))
+    inside = W.partitionBy("_part").orderBy("_t", "_tick", "_tie").rowsBetween(W.unboundedPreceding, 0)
     local = both.withColumn("_local", F.last("_event", ignorenulls=True).over(inside))
     order = F.struct("_t", "_tie")
-    ends = both.groupBy(*keys, "_bucket").agg(F.max_by("_event", F.when(F.col("_tick") == 0, order)).alias("_last"), F.min_by("_event", F.when(F.col("_tick") == 0, order)).alias("_first"))
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    later = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(0, W.unboundedFollowing)
-    handed = ends.select(*keys, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_before"), F.first("_first", ignorenulls=True).over(later).alias("_after"))
-    joined = local.where("_tick = 1").join(handed, [*keys, "_bucket"])
+    ends = both.groupBy("_part").agg(F.max_by("_event", F.when(F.col("_tick") == 0, order)).alias("_last"), F.min_by("_event", F.when(F.col("_tick") == 0, order)).alias("_first"))
+    series = W.partitionBy(*(f"_part.{c}" for c in _names(keys))).orderBy("_part._bucket")
+    earlier, later = series.rowsBetween(W.unboundedPreceding, -1), series.rowsBetween(0, W.unboundedFollowing)
+    handed = ends.select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_before"), F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    joined = local.where("_tick = 1").join(handed, "_part")
     found = F.coalesce("_local", "_before", "_after") if fill_first else F.coalesce("_local", "_before")
     return joined.select("_row.*", found["v"].cast(kind).alias(name))
