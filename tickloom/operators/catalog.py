@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import shard_range, split_and_task
+from tickloom.operators.ordered import int_bucket, numbered
 from tickloom.runtime import lookup_join
 
 
@@ -21,9 +22,13 @@ def task_counts(df: DataFrame, task: str) -> DataFrame:
     return df.groupBy(task).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col(task))
 
 
-def paths_by_task(catalog: DataFrame, task: str, path: str, position: str) -> DataFrame:
-    """Per task its paths in listing order. For catalogues of file names; a task's names must fit into a row."""
-    return catalog.groupBy(task).agg(F.transform(F.array_sort(F.collect_list(F.struct(position, path))), lambda x: x[path]).alias("paths"))
+def paths_by_task(catalog: DataFrame, task: str, path: str, position: str, bucket: int = 65_536) -> DataFrame:
+    """The paths of each task numbered in listing order: task, k, path. position is a whole number.
+
+    Rows, not a list per task: one task may hold a third of all paths.
+    """
+    ordered = numbered(catalog.select(task, path, position), [task], [position, path], int_bucket(F.col(position), bucket), "k")
+    return ordered.select(task, "k", path)
 
 
 def match_tasks(tasks: DataFrame, requested: list[str], task: str, position: str) -> DataFrame:

@@ -27,8 +27,7 @@ def task_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paths_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = catalog.paths_by_task(_listing(spark, sf_dir), "path_task", "path", "listing_pos")
-    return grouped.select("path_task", F.posexplode("paths").alias("k", "path"))
+    return catalog.paths_by_task(_listing(spark, sf_dir), "path_task", "path", "listing_pos")
 
 
 def match_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +155,7 @@ _PLAN = """asked AS (SELECT o_orderkey AS rel_path, o_orderpriority AS task FROM
 SQL = {
     "task_catalog": f"WITH {_LISTING} SELECT path, listing_pos, split, path_task FROM catalog",
     "task_counts": f"WITH {_LISTING} SELECT path_task, count(*) AS n FROM catalog GROUP BY 1",
-    "paths_by_task": f"WITH {_LISTING} SELECT path_task, (row_number() OVER (PARTITION BY path_task ORDER BY listing_pos, path) - 1)::INT AS k, path FROM catalog",
+    "paths_by_task": f"WITH {_LISTING} SELECT path_task, row_number() OVER (PARTITION BY path_task ORDER BY listing_pos, path) - 1 AS k, path FROM catalog",
     "match_tasks": f"WITH {_MATCH} SELECT requested, path_task, n_matches FROM matched",
     "select_episodes": f"""WITH {_MATCH}, r AS (SELECT m.requested, c.path_task, c.path, row_number() OVER (PARTITION BY m.requested ORDER BY c.listing_pos) AS place
         FROM matched m JOIN catalog c USING (path_task)) SELECT requested, path_task, path, place FROM r WHERE place <= 5""",

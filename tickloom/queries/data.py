@@ -26,10 +26,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole grid, one row per component."""
     flat = _grid(spark, sf_dir).select(
-        "episode_id", "topic", "tick", "n_readings", F.posexplode("value").alias("component", "value"), "increment", F.round("covered", 6).alias("covered")
+        "episode_id", "topic", "tick", "n_readings", F.posexplode("value").alias("component", "value"), "increment", F.round("covered", 4).alias("covered")
     )
     return flat.select(
-        "episode_id", "topic", "tick", "component", "n_readings", F.round("value", 6).alias("value"), F.round(F.get("increment", "component"), 6).alias("increment"), "covered"
+        "episode_id", "topic", "tick", "component", "n_readings", F.round("value", 4).alias("value"), F.round(F.get("increment", "component"), 4).alias("increment"), "covered"
     )
 
 
@@ -59,6 +59,38 @@ SQL = {
           SELECT s.episode_id, s.topic, unnest(range(0, (p.end_ns - p.start_ns - 1) // p.step + 1)) AS tick
           FROM series s JOIN spans p USING (episode_id))
         SELECT episode_id, topic, tick FROM grid EXCEPT SELECT episode_id, topic, tick FROM read""",
+    "p4_grid": """
+        WITH spans AS (
+          SELECT DISTINCT r.episode_id, r.start_ns, r.end_ns, CAST(trunc(1e9 / s.tick_fps) AS BIGINT) AS step
+          FROM recordings r JOIN robot_schemas s USING (dataset_source) WHERE r.end_ns > r.start_ns),
+        whole AS (
+          SELECT m.episode_id, m.topic, m.log_time AS t, max(m.value) AS v
+          FROM raw_messages m JOIN spans p USING (episode_id)
+          WHERE m.value IS NOT NULL AND len(m.value) > 0 AND m.log_time >= p.start_ns AND m.log_time < p.end_ns GROUP BY 1, 2, 3),
+        single AS (SELECT episode_id, topic, t, unnest(range(0, len(v)))::INT AS component, unnest(v) AS v FROM whole),
+        read AS (
+          SELECT *, lead(t) OVER w AS t1, lead(v) OVER w AS v1 FROM single
+          WINDOW w AS (PARTITION BY episode_id, topic, component ORDER BY t)),
+        ends AS (
+          SELECT episode_id, topic, component, min(t) AS first_t, max(t) AS last_t, arg_min(v, t) AS first_v FROM read GROUP BY 1, 2, 3),
+        ticks AS (
+          SELECT e.*, p.start_ns, p.step, unnest(range(0, (p.end_ns - p.start_ns - 1) // p.step + 1)) AS tick FROM ends e JOIN spans p USING (episode_id)),
+        cells AS (
+          SELECT *, start_ns + tick * step AS c0, greatest(start_ns + tick * step, first_t) AS a, least(start_ns + tick * step + step, last_t) AS b FROM ticks),
+        levels AS (
+          SELECT c.*, coalesce(x.v + CASE WHEN x.t1 IS NULL THEN 0 ELSE (x.v1 - x.v) * ((c.c0 - x.t)::DOUBLE / (x.t1 - x.t)) END, c.first_v) AS at_c0
+          FROM cells c ASOF LEFT JOIN read x ON x.episode_id = c.episode_id AND x.topic = c.topic AND x.component = c.component AND c.c0 >= x.t),
+        with_a AS (
+          SELECT c.*, x.v + CASE WHEN x.t1 IS NULL THEN 0 ELSE (x.v1 - x.v) * ((c.a - x.t)::DOUBLE / (x.t1 - x.t)) END AS at_a
+          FROM levels c ASOF LEFT JOIN read x ON x.episode_id = c.episode_id AND x.topic = c.topic AND x.component = c.component AND c.a >= x.t),
+        with_b AS (
+          SELECT c.*, x.v + CASE WHEN x.t1 IS NULL THEN 0 ELSE (x.v1 - x.v) * ((c.b - x.t)::DOUBLE / (x.t1 - x.t)) END AS at_b
+          FROM with_a c ASOF LEFT JOIN read x ON x.episode_id = c.episode_id AND x.topic = c.topic AND x.component = c.component AND c.b >= x.t),
+        counts AS (
+          SELECT w.episode_id, w.topic, (w.t - p.start_ns) // p.step AS tick, count(*) AS n FROM whole w JOIN spans p USING (episode_id) GROUP BY 1, 2, 3)
+        SELECT c.episode_id, c.topic, c.tick, c.component, coalesce(k.n, 0) AS n_readings, round(c.at_c0, 4) AS value,
+               CASE WHEN c.b > c.a THEN round(c.at_b - c.at_a, 4) END AS increment, round(greatest(0, c.b - c.a) / c.step, 4) AS covered
+        FROM with_b c LEFT JOIN counts k USING (episode_id, topic, tick)""",
     "p6_found": r"""
         WITH lines AS (
           SELECT trim(unnest(string_split_regex(body, '\r\n|\n|\r')), chr(65279) || chr(9) || ' ') AS line FROM record_files),
