@@ -58,6 +58,12 @@ def test_burst_at_the_ends_and_fast_motion():
     assert np.flatnonzero(spikes_in(y, t, 0.2, 7)).tolist() == [0, 1, 2, 39]
 
 
+def test_motion_goes_on_behind_a_stuck_run():
+    limits = {"low": -9.0, "high": 9.0, "jump": 0.2, "hampel": 0.1, "stuck": 8.0, "rests": 0.0}
+    x = np.concatenate([np.sin(np.arange(10)) * 0.01, np.full(30, 0.02), [0.7, 0.71, 0.78, 0.89]])
+    assert np.flatnonzero(implausible(x, np.arange(len(x)), limits, Rules())).tolist() == list(range(11, 40))
+
+
 def test_stuck_run_flags_repeats_only_and_skips_missing():
     limits = {"low": -9.0, "high": 9.0, "jump": 1.0, "hampel": 0.1, "stuck": 8.0, "rests": 0.0}
     x = np.concatenate([np.arange(5) * 0.1, np.full(12, 0.4), 0.5 + np.arange(5) * 0.1])

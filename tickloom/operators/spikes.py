@@ -227,7 +227,8 @@ def spikes_in(y: np.ndarray, t: np.ndarray, jump: float, anchor: int) -> np.ndar
     Readings reached from one another in steps under jump form a stretch;
     stretches of at least anchor readings (else the longest) are true. Any
     other reading is compared with the true ones next to it: with the line
-    between them and with both motions carried on.
+    between them and with both motions carried on. Where the nearest true reading
+    is more than anchor frames away, jump grows with that distance.
     """
     out = np.zeros(len(y), bool)
     if len(y) < 3:
@@ -252,7 +253,9 @@ def spikes_in(y: np.ndarray, t: np.ndarray, jump: float, anchor: int) -> np.ndar
         speed = np.where(same, (y[near] - y[other]) / np.where(same, t[near] - t[other], 1), 0)
         carried = np.abs(y[at] - (y[near] + speed * (t[at] - t[near])))
         off = np.where(same, np.minimum(off, carried), off)
-    out[at] = off > jump
+    # far from any true reading, beyond a stuck run or a gap, the motion may have gone on
+    away = np.minimum(np.where(has_left, t[at] - t[i], np.inf), np.where(has_right, t[j] - t[at], np.inf))
+    out[at] = off > jump * np.maximum(1, away / anchor)
     return out
 
 
