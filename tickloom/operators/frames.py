@@ -19,6 +19,8 @@ from tickloom.runtime import block_keys, lookup_join
 FEATURES = ("observation.state", "action")
 BLOCK = 4096
 HALO = 128
+#: Episodes of one source and day that are brought to one place.
+EPISODES_PER_PART = 2000
 
 BLOCK_SCHEMA = (
     "dataset_source string, day date, episode_index bigint, lo bigint, frame binary, "
@@ -39,9 +41,20 @@ def episode_sources(manifest: DataFrame) -> DataFrame:
     )
 
 
-def frame_blocks(frames: DataFrame, manifest: DataFrame, block: int = BLOCK, halo: int = HALO) -> DataFrame:
+def day_salts(sources: DataFrame, per_part: int = EPISODES_PER_PART) -> DataFrame:
+    """Add `salt` to the episodes: a day of a source that has very many of them is spread over several parts."""
+    sizes = sources.groupBy(F.col("dataset_source").alias("_source"), F.col("day").alias("_day")).agg(F.ceil(F.count("*") / F.lit(per_part)).alias("_parts"))
+    sized = sources.join(sizes, (F.col("dataset_source") == F.col("_source")) & F.col("day").eqNullSafe(F.col("_day")))
+    return sized.select("episode_index", "dataset_source", "day", F.pmod(F.xxhash64("episode_index"), F.col("_parts")).alias("salt"))
+
+
+def frame_blocks(frames: DataFrame, manifest: DataFrame, block: int = BLOCK, halo: int = HALO, by_day: bool = False) -> DataFrame:
     """Blocks of frames with their source: one shuffle by (episode, block), sorted, repeated rows removed.
 
+    With by_day the shuffle brings the blocks of one source and recording day
+    together instead, except that a day of very many episodes or an episode of
+    several blocks is spread over as many places.
+
     Frames without episode_index or frame_index, or of an episode that the
     manifest does not name, are left out. A null vector becomes missing (NaN). Of
     several rows for one frame the one with the greatest vectors stays.
@@ -55,14 +68,16 @@ def frame_blocks(frames: DataFrame, manifest: DataFrame, block: int = BLOCK, hal
             F.col("action").cast("array<float>").alias("action"),
         )
     )
-    rows = lookup_join(rows, episode_sources(manifest), "episode_index")
+    sources = episode_sources(manifest)
+    rows = lookup_join(rows, day_salts(sources) if by_day else sources.withColumn("salt", F.lit(0)), "episode_index")
     rows = rows.withColumn("block", F.explode(block_keys(F.col("frame_index"), block, halo)))
+    spread = ["dataset_source", "day", "salt", "block"] if by_day else ["episode_index", "block"]
+    within = [c for c in ("episode_index", "block") if c not in spread]
     ordered = (
-        rows.select("dataset_source", "day", "episode_index", "block", "frame_index", "state", "action")
-        .repartition("episode_index", "block")
-        .sortWithinPartitions(
-            "episode_index", "block", "frame_index", F.desc_nulls_last("state"), F.desc_nulls_last("action")
-        )
+        rows.select("dataset_source", "day", "salt", "episode_index", "block", "frame_index", "state", "action")
+        .repartition(*spread)
+        .sortWithinPartitions(*spread, *within, "frame_index", F.desc_nulls_last("state"), F.desc_nulls_last("action"))
+        .drop("salt")
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
