@@ -112,17 +112,17 @@ class Sketch:
 PARTS = "part bigint, n bigint, err bigint, level int, readings binary"
 
 
-def _part_rows(keys: list[tuple], names: list[str], types: list[pa.DataType], part: int, sketches: list[Sketch]) -> pa.RecordBatch:
+def _part_rows(keys: list[tuple], names: list[str], types: list[pa.DataType], part: int, sketches: list[Sketch], dtype: str) -> pa.RecordBatch:
     columns: list[list] = [[] for _ in range(len(names) + 5)]
     for key, sketch in zip(keys, sketches, strict=True):
         for n, err, level, values in sketch.parts():
-            for column, x in zip(columns, (*key, part, n, err, level, values.astype(np.float64).tobytes()), strict=True):
+            for column, x in zip(columns, (*key, part, n, err, level, values.astype(dtype).tobytes()), strict=True):
                 column.append(x)
     kinds = [*types, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[*names, "part", "n", "err", "level", "readings"])
 
 
-def sketch_batches(batches: Iterator[pa.RecordBatch], feed: Callable, names: list[str], types: list[pa.DataType], k: int, fan_in: int) -> Iterator[pa.RecordBatch]:
+def sketch_batches(batches: Iterator[pa.RecordBatch], feed: Callable, names: list[str], types: list[pa.DataType], k: int, fan_in: int, dtype: str) -> Iterator[pa.RecordBatch]:
     """Partial sketches of a partition. feed(batch) gives (key tuple, finite numbers) pairs."""
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     held: dict[tuple, Sketch] = {}
@@ -133,18 +133,18 @@ def sketch_batches(batches: Iterator[pa.RecordBatch], feed: Callable, names: lis
                 sketch = held[key] = Sketch(k, fan_in)
             sketch.add(values)
         if len(held) > HELD:
-            yield from _given_out(held, names, types, part)
+            yield from _given_out(held, names, types, part, dtype)
             held = {}
-    yield from _given_out(held, names, types, part)
+    yield from _given_out(held, names, types, part, dtype)
 
 
-def _given_out(held: dict[tuple, Sketch], names: list[str], types: list[pa.DataType], part: int) -> Iterator[pa.RecordBatch]:
+def _given_out(held: dict[tuple, Sketch], names: list[str], types: list[pa.DataType], part: int, dtype: str) -> Iterator[pa.RecordBatch]:
     keys = list(held)
     for i in range(0, len(keys), 500):
-        yield _part_rows(keys[i : i + 500], names, types, part, [held[x] for x in keys[i : i + 500]])
+        yield _part_rows(keys[i : i + 500], names, types, part, [held[x] for x in keys[i : i + 500]], dtype)
 
 
-def _merged(batches: Iterator[pa.RecordBatch], names: list[str], k: int, fan_in: int) -> Iterator[tuple[tuple, int, Sketch]]:
+def _merged(batches: Iterator[pa.RecordBatch], names: list[str], k: int, fan_in: int, dtype: str) -> Iterator[tuple[tuple, int, Sketch]]:
     """Sketches of a partition sorted by names and part; parts of one key follow one another."""
     now, sketch = None, Sketch(k, fan_in)
     for batch in batches:
@@ -155,7 +155,7 @@ def _merged(batches: Iterator[pa.RecordBatch], names: list[str], k: int, fan_in:
                 if now is not None:
                     yield now[:-1], now[-1], sketch
                 now, sketch = key, Sketch(k, fan_in)
-            sketch.take(n[i], err[i], level[i], np.frombuffer(batch["readings"][i].as_buffer(), np.float64))
+            sketch.take(n[i], err[i], level[i], np.frombuffer(batch["readings"][i].as_buffer(), dtype))
     if now is not None:
         yield now[:-1], now[-1], sketch
 
@@ -170,18 +170,18 @@ def _columns(df: DataFrame, names: list[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names)
 
 
-def merge_sketches(parts: DataFrame, keys: list[str], n_parts: int, k: int = K, fan_in: int = FAN_IN, until: int = 1) -> DataFrame:
+def merge_sketches(parts: DataFrame, keys: list[str], n_parts: int, k: int = K, fan_in: int = FAN_IN, until: int = 1, dtype: str = "f8") -> DataFrame:
     """Merge partial sketches by keys until at most `until` per key are left.
 
-    n_parts bounds the values of `part` per key. Each round sends at most
+    n_parts bounds the values of `part` per key; dtype is that of the readings. Each round sends at most
     MERGE_FAN_IN of them to one place; a task holds one sketch at a time.
     """
     types = _arrow_types(parts, keys)
     schema = f"{_columns(parts, keys)}, {PARTS}"
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, part, sketch in _merged(batches, keys, k, fan_in):
-            yield _part_rows([key], keys, types, part, [sketch])
+        for key, part, sketch in _merged(batches, keys, k, fan_in, dtype):
+            yield _part_rows([key], keys, types, part, [sketch], dtype)
 
     while n_parts > until:
         n_parts = max(until, -(-n_parts // MERGE_FAN_IN))
@@ -190,7 +190,7 @@ def merge_sketches(parts: DataFrame, keys: list[str], n_parts: int, k: int = K,
     return parts
 
 
-def read_quantiles(parts: DataFrame, keys: list[str], shares: list[float], k: int = K, fan_in: int = FAN_IN) -> DataFrame:
+def read_quantiles(parts: DataFrame, keys: list[str], shares: list[float], k: int = K, fan_in: int = FAN_IN, dtype: str = "f8") -> DataFrame:
     """Percentiles of the keys' merged sketches: keys, q, value, n, rank_error (ranks) and error_share (of n).
 
     At most MERGE_FAN_IN partial sketches per key may be left in parts.
@@ -198,10 +198,10 @@ def read_quantiles(parts: DataFrame, keys: list[str], shares: list[float], k: in
     types = _arrow_types(parts, keys)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, _, sketch in _merged(batches, keys, k, fan_in):
+        for key, _, sketch in _merged(batches, keys, k, fan_in, dtype):
             found = sketch.quantiles(shares)
             rows = [pa.array([x] * len(shares), t) for x, t in zip(key, types, strict=True)]
-            numbers = [shares, found.tolist(), [sketch.n] * len(shares), [sketch.err] * len(shares), [sketch.err / max(1, sketch.n)] * len(shares)]
+            numbers = [shares, found.astype(np.float64).tolist(), [sketch.n] * len(shares), [sketch.err] * len(shares), [sketch.err / max(1, sketch.n)] * len(shares)]
             kinds = [pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(rows + [pa.array(x, t) for x, t in zip(numbers, kinds, strict=True)], names=[*keys, "q", "value", "n", "rank_error", "error_share"])
 
@@ -221,7 +221,7 @@ def sketch_column(df: DataFrame, keys: list[str], value: str, k: int = K, fan_in
             yield tuple(row[c] for c in names), x[np.isfinite(x)]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return sketch_batches(batches, feed, names, types, k, fan_in)
+        return sketch_batches(batches, feed, names, types, k, fan_in, "f8")
 
     return df.select(*names, F.col(value).cast("double").alias("_value")).mapInArrow(sketch, f"{_columns(df, names)}, {PARTS}")
 
@@ -239,6 +239,8 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float], k
 
 
 FRAME_KEYS = ["dataset_source", "feature", "component"]
+#: Readings of frames are 32-bit numbers; their sketches are kept as such.
+FRAME_TYPE = "f4"
 SHARES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
@@ -260,10 +262,10 @@ def frame_sketches(frames: DataFrame, manifest: DataFrame, by_day: bool = False,
                 yield ((source, day, feature, c) if by_day else (source, feature, c)), x
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return sketch_batches(batches, feed, names, types, k, fan_in)
+        return sketch_batches(batches, feed, names, types, k, fan_in, FRAME_TYPE)
 
     schema = "dataset_source string, " + "day date, " * by_day + "feature string, component bigint, " + PARTS
-    return frame_blocks(frames, manifest, halo=0).mapInArrow(sketch, schema)
+    return frame_blocks(frames, manifest, halo=0, by_day=by_day).mapInArrow(sketch, schema)
 
 
 def _n_parts(df: DataFrame) -> int:
@@ -276,24 +278,40 @@ def frame_percentiles(frames: DataFrame, manifest: DataFrame, shares: list[float
     Repeated frames count once; null vectors and NaN or infinite readings do
     not count. Columns as of read_quantiles(). Empty frames give no rows.
     """
-    parts = merge_sketches(frame_sketches(frames, manifest, False, k, fan_in), FRAME_KEYS, _n_parts(frames), k, fan_in, MERGE_FAN_IN)
-    return read_quantiles(parts, FRAME_KEYS, shares or SHARES, k, fan_in)
+    parts = merge_sketches(frame_sketches(frames, manifest, False, k, fan_in), FRAME_KEYS, _n_parts(frames), k, fan_in, MERGE_FAN_IN, FRAME_TYPE)
+    return read_quantiles(parts, FRAME_KEYS, shares or SHARES, k, fan_in, FRAME_TYPE)
 
 
 def day_sketches(frames: DataFrame, manifest: DataFrame, k: int = K, fan_in: int = FAN_IN) -> DataFrame:
-    """One sketch per source, recording day and component: a table to keep and to merge with other days'."""
-    parts = frame_sketches(frames, manifest, True, k, fan_in)
-    return merge_sketches(parts, ["dataset_source", "day", "feature", "component"], _n_parts(frames), k, fan_in)
+    """Sketches per source, recording day and component: a table to keep and to merge with other days'.
 
+    Frames are shuffled by source and day, so a day is sketched where its frames
+    are; one of very many episodes comes out in several parts, to be merged like days.
+    """
+    return frame_sketches(frames, manifest, True, k, fan_in)
 
-def percentiles_of_days(days: DataFrame, shares: list[float] | None = None, k: int = K, fan_in: int = FAN_IN, buckets: int = MERGE_FAN_IN) -> DataFrame:
-    """Percentiles over any union of day_sketches() tables. The unknown day (null) is a day."""
-    parts = days.withColumn("part", F.pmod(F.xxhash64(F.coalesce("day", F.lit("0001-01-01").cast("date"))), F.lit(buckets)).cast("bigint")).drop("day")
-    pooled = parts.repartition(*FRAME_KEYS, "part").sortWithinPartitions(*FRAME_KEYS, "part")
-    types = _arrow_types(parts, FRAME_KEYS)
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, part, sketch in _merged(batches, FRAME_KEYS, k, fan_in):
-            yield _part_rows([key], FRAME_KEYS, types, part, [sketch])
+def percentiles_of_days(days: DataFrame, shares: list[float] | None = None, k: int = K, fan_in: int = FAN_IN) -> DataFrame:
+    """Percentiles over any union of day_sketches() tables, the unknown day (null) included.
 
-    return read_quantiles(pooled.mapInArrow(merge, f"{_columns(parts, FRAME_KEYS)}, {PARTS}"), FRAME_KEYS, shares or SHARES, k, fan_in)
+    Each task first merges the days of its own rows; only those sketches are shuffled.
+    """
+    types = [pa.string(), pa.string(), pa.int64()]
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held: dict[tuple, Sketch] = {}
+        for batch in batches:
+            keys = zip(*(batch[c].to_pylist() for c in FRAME_KEYS), strict=True)
+            numbers = zip(*(batch[c].to_pylist() for c in ("n", "err", "level")), strict=True)
+            for key, (n, err, level), readings in zip(keys, numbers, batch["readings"], strict=True):
+                sketch = held.get(key)
+                if sketch is None:
+                    sketch = held[key] = Sketch(k, fan_in)
+                sketch.take(n, err, level, np.frombuffer(readings.as_buffer(), FRAME_TYPE))
+        yield from _given_out(held, FRAME_KEYS, types, part, FRAME_TYPE)
+
+    parts = days.select(*FRAME_KEYS, "n", "err", "level", "readings")
+    pooled = parts.mapInArrow(pool, f"{_columns(parts, FRAME_KEYS)}, {PARTS}")
+    merged = merge_sketches(pooled, FRAME_KEYS, days.rdd.getNumPartitions(), k, fan_in, MERGE_FAN_IN, FRAME_TYPE)
+    return read_quantiles(merged, FRAME_KEYS, shares or SHARES, k, fan_in, FRAME_TYPE)
