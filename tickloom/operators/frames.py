@@ -69,7 +69,7 @@ def frame_blocks(frames: DataFrame, manifest: DataFrame, block: int = BLOCK, hal
         )
     )
     sources = episode_sources(manifest)
-    rows = lookup_join(rows, day_salts(sources) if by_day else sources.withColumn("salt", F.lit(0)), "episode_index")
+    rows = lookup_join(rows, day_salts(sources) if by_day else sources.withColumn("salt", F.lit(0)), "episode_index", size_of=sources)
     rows = rows.withColumn("block", F.explode(block_keys(F.col("frame_index"), block, halo)))
     spread = ["dataset_source", "day", "salt", "block"] if by_day else ["episode_index", "block"]
     within = [c for c in ("episode_index", "block") if c not in spread]

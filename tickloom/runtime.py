@@ -59,13 +59,16 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     return estimated_bytes(df) * DECODED_FACTOR <= limit
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", limit: int = BROADCAST_LIMIT) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", limit: int = BROADCAST_LIMIT, size_of: DataFrame | None = None) -> DataFrame:
     """Join a large left side to a lookup table.
 
     The lookup is broadcast while its estimated size is under limit. Beyond that
     the same join runs shuffled, where AQE splits skewed keys of the left side.
+    size_of is a table that bounds the lookup's rows, where Catalyst's estimate
+    of the lookup itself is a product of sizes, as of joins.
     """
-    return left.join(F.broadcast(right) if fits_broadcast(right, limit) else right, on, how)
+    small = fits_broadcast(right if size_of is None else size_of, limit)
+    return left.join(F.broadcast(right) if small else right, on, how)
 
 
 def block_keys(order: Column, block: int, halo: int = 0) -> Column:
