@@ -41,11 +41,14 @@ def recording_spans(recordings: DataFrame, schemas: DataFrame) -> DataFrame:
     )
 
 
-def readings(messages: DataFrame, spans: DataFrame, payload: str = "value") -> DataFrame:
-    """Messages that are readings: payload neither null nor empty, log_time in [start_ns, end_ns) of the recording."""
+def readings(messages: DataFrame, spans: DataFrame, payload: str = "value", size_of: DataFrame | None = None) -> DataFrame:
+    """Messages that are readings: payload neither null nor empty, log_time in [start_ns, end_ns) of the recording.
+
+    size_of: the recordings that the spans come from.
+    """
     filled = F.size(payload) > 0 if dict(messages.dtypes)[payload].startswith("array") else F.col(payload).isNotNull()
     sent = messages.where(F.col(payload).isNotNull() & filled & F.col("log_time").isNotNull())
-    return lookup_join(sent, spans, "episode_id").where("log_time >= start_ns and log_time < end_ns")
+    return lookup_join(sent, spans, "episode_id", size_of=size_of).where("log_time >= start_ns and log_time < end_ns")
 
 
 def _explode_ticks(df: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -121,7 +124,7 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
     width = width or widest(schemas)
     sent = messages.where(F.col("topic").isNotNull()).select(*keys, "log_time", "seq", F.col("value").cast("array<double>").alias("value"))
     # three passes read it: kept in the shared folder, so that messages are shuffled once
-    read = materialize(distinct_readings(readings(sent, recording_spans(recordings, schemas)), keys, width), "readings")
+    read = materialize(distinct_readings(readings(sent, recording_spans(recordings, schemas), size_of=recordings), keys, width), "readings")
 
     # the grid itself
     series = read.groupBy(*keys, "start_ns", "end_ns", "step").agg(
