@@ -156,11 +156,11 @@ def camera_states(raw_camera: DataFrame, raw_messages: DataFrame, recordings: Da
     """
     spans = recording_spans(recordings, schemas)
     topic = F.create_map(*(F.lit(x) for pair in CAMERA_TOPICS.items() for x in pair))
-    shots = readings(raw_camera.select("episode_id", "camera", "log_time", "seq", "data"), spans, "data").select(
+    shots = readings(raw_camera.select("episode_id", "camera", "log_time", "seq", "data"), spans, "data", recordings).select(
         "episode_id", F.try_element_at(topic, F.col("camera")).alias("topic"), "log_time", F.struct("camera", "seq").alias("shot")
     )
     wanted = sorted(set(CAMERA_TOPICS.values()))
-    states = readings(raw_messages.select("episode_id", "topic", "log_time", "seq", "value"), spans).where(F.col("topic").isin(wanted))
+    states = readings(raw_messages.select("episode_id", "topic", "log_time", "seq", "value"), spans, size_of=recordings).where(F.col("topic").isin(wanted))
     # cameras share a topic: the id of a shot is camera and seq, packed into one sortable string
     packed = shots.where("shot.seq is not null").withColumn("shot", F.concat_ws("/", "shot.camera", "shot.seq"))
     pairs = nearest(packed, states.select("episode_id", "topic", "log_time", "seq"), ["episode_id", "topic"], "log_time", "shot", "seq", tolerance, "shot", "state_seq")
