@@ -9,7 +9,7 @@ rolling window of every text is probed:
 2. The blocks' hashes form a bit filter of bounded size. Windows that pass it
    are grouped by hash; a hash in two different texts is an anchor.
 3. Anchors are extended: each stretch of `span` code points around an anchor is
-   hashed (128 bits), and is shared if two texts have it. Overlapping shared
+   hashed (96 bits), and is shared if two texts have it. Overlapping shared
    stretches make up the maximal exact repeats, without any pair of texts.
 
 All groups are reduced by minimum and maximum of the text ids, map-side first.
@@ -85,7 +85,8 @@ def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     reps = members.where("doc_id = rep").select("rep", "digest").distinct()
     # joined by id and digest, so that the texts of a large group of copies do not meet anywhere
     own = rows.select("doc_id", "text", F.sha2("text", 256).alias("digest")).join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
-    return own.dropDuplicates(["digest"]).select("digest", F.col("doc_id").alias("rep"), "text"), members.distinct()
+    # rows of one id and text are one; they are already together, so the texts move once
+    return own.dropDuplicates(["doc_id", "digest"]).select("digest", F.col("doc_id").alias("rep"), "text"), members.distinct()
 
 
 def _points(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -199,10 +200,10 @@ def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text
                 if len(begin):
                     one, two = window_hashes(points, span, 0)[begin], window_hashes(points, span, 1)[begin]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(len(begin), rep), pa.int64()), pa.array(begin.astype(np.int32))], names=["one", "two", "rep", "place"]
+                        [pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(np.full(len(begin), rep), pa.int64()), pa.array(begin.astype(np.int32))], names=["one", "two", "rep", "place"]
                     )
 
-    stretches = numbered.select("rep", "text").join(places, "rep").mapInArrow(extend, "one bigint, two bigint, rep bigint, place int")
+    stretches = numbered.select("rep", "text").join(places, "rep").mapInArrow(extend, "one bigint, two int, rep bigint, place int")
     shared = _in_two(stretches, ["one", "two"]).select("rep", "place")
     gap = F.col("place") - F.lag("place").over(W.partitionBy("rep").orderBy("place"))
     counted = shared.withColumn("new", F.least(F.lit(span), F.coalesce(gap, F.lit(span)))).groupBy("rep").agg(F.sum("new").cast("bigint").alias("found"))
