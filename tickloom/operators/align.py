@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.ordered import asof, int_bucket
+from tickloom.operators.ordered import asof
 
 #: Ticks in one stretch of a series.
 STRETCH = 8192
@@ -83,10 +83,6 @@ def fifo_pair(frames: DataFrame, times: DataFrame, keys: list[str], position: st
     return paired.withColumn(time, F.coalesce(time, "_last")).drop("_last")
 
 
-def stretch_of(time: Column, size: int) -> Column:
-    return int_bucket(time, size)
-
-
 def camera_pointers(ticks: DataFrame, frames: DataFrame, keys: list[str], time: str, frame: str, step: int) -> DataFrame:
     """For each tick the number of the camera frame that shows it; pixels are joined by number afterwards."""
     return floor_align(ticks, frames, keys, time, [frame], frame, step)
