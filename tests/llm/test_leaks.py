@@ -44,6 +44,16 @@ def test_words():
     assert leaks.words(None) == leaks.words(" \n") == []
 
 
+def test_word_ids_part_by_part(monkeypatch):
+    text = "Ｆｏｏ bar\nbaz_qux é e\u0301 long" * 20 + "x" * 50
+    known = {w: i + 1 for i, w in enumerate(sorted(set(leaks.words(text))))}
+    want = [known[w] for w in leaks.words(text)]
+    for part in (1, 7, 64, 10_000):
+        monkeypatch.setattr(leaks, "PART", part)
+        assert leaks.word_ids(text, known) == want
+    assert leaks.word_ids("", known) == [] and leaks.word_ids("new", known) == [0]
+
+
 def brute(docs, items, passage, budget):
     out = {}
     for d, text in docs:

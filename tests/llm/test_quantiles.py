@@ -72,6 +72,14 @@ def test_column_with_a_hot_key_nulls_and_many_parts(spark):
     assert q.quantiles(df.limit(0), ["g"], "v", [0.5], n_parts=1).count() == 0
 
 
+def test_keys_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "a", 4.0)], "part bigint, `level.x` string, readings double")
+    assert [tuple(r)[:5] for r in q.quantiles(df, ["part", "level.x"], "readings", [1.0], n_parts=2).collect()] == [(1, "a", 1.0, 4.0, 2)]
+    for bad in ([], ["q"]):
+        with pytest.raises(ValueError):
+            q.quantiles(df.withColumnRenamed("part", "q"), bad, "readings", [0.5], n_parts=1)
+
+
 FRAMES = "index bigint, episode_index bigint, frame_index bigint, timestamp double, task_index bigint, `observation.state` array<float>, action array<float>, day string"
 MANIFEST = "rel_path string, episode_index bigint, dataset_source string, recorded_at timestamp, feature string"
 

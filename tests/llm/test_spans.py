@@ -84,6 +84,24 @@ def test_a_third_of_all_texts_share_one_passage(spark):
     assert run(spark, docs, 100) == brute(docs, 100)
 
 
+@pytest.mark.parametrize("stretch", [1, 64, 1000])
+def test_stretches_of_a_long_text(spark, stretch, monkeypatch):
+    monkeypatch.setattr(spans, "STRETCH", stretch)
+    points = np.arange(997, dtype=np.uint32)
+    for size in (7, 10):
+        parts = [(at, p) for at, p in spans.stretches_of(points, size)]
+        windows = [at + i for at, p in parts for i in range(len(p) - size + 1)]
+        assert windows == list(range(len(points) - size + 1)) and all(at % size == 0 for at, _ in parts)
+    assert [len(p) for _, p in spans.stretches_of(points[:3], 7)] == [3]
+
+
+def test_a_very_long_text(spark):
+    rng = np.random.default_rng(0)
+    words = rng.integers(97, 123, 3_000_000).astype(np.uint8).tobytes().decode()
+    cut = words[1_048_500:1_048_700]  # across the border of two stretches
+    assert run(spark, [(1, words), (2, "other " + cut), (3, "nothing in common with the others, but long enough to be looked at, and even a bit longer than that")], 100) == {1: 200, 2: 200}
+
+
 def test_empty(spark):
     assert run(spark, [], 100) == {} and run(spark, [(1, "short")], 100) == {}
     with pytest.raises(ValueError):

@@ -26,6 +26,8 @@ PASSAGE = 13
 BUDGET = 1
 #: Items in one block; a block is what a worker holds.
 BLOCK_ITEMS = 20_000
+#: Code points of a text that are normalised at a time.
+PART = 1 << 20
 #: Hits verified at a time.
 AT_ONCE = 1 << 16
 
@@ -38,6 +40,19 @@ def words(text: str | None) -> list[str]:
     return [] if not text else WORDS.findall(unicodedata.normalize("NFKC", text).casefold())
 
 
+def word_ids(text: str, known: dict[str, int]) -> list[int]:
+    """Numbers of a text's words, 0 for unknown ones. A long text is read part by part, cut at blanks, where no word and no normal form spans."""
+    ids: list[int] = []
+    at = 0
+    while at < len(text):
+        end = at + PART
+        while end < len(text) and text[end] not in " \n":
+            end += 1
+        ids += [known.get(w, 0) for w in words(text[at:end])]
+        at = end
+    return ids
+
+
 def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     """Polynomial hash of each run of n numbers, modulo 2**64 (collisions fall to the verification)."""
     if len(ids) < n:
@@ -188,7 +203,7 @@ def _scanner(broadcast, types: tuple[pa.DataType, pa.DataType]):
                 batch = whole.slice(at, 1000)
                 parts, owners = [], []
                 for i, text in enumerate(batch["text"].to_pylist()):
-                    ids = [known.get(w, 0) for w in words(text)]
+                    ids = word_ids(text, known)
                     ids.append(0)
                     parts.append(np.array(ids, np.int64))
                     owners.append(np.full(len(ids), i, np.int64))

@@ -40,6 +40,8 @@ def nearest(
     """
     if tolerance < 0 or stretch <= 2 * tolerance:
         raise ValueError("stretch must be more than twice the tolerance, which must not be negative")
+    if {left_out, right_out} & set(keys) or left_out == right_out or {"_stretch", "_t", "_side", "_l", "_r"} & set(keys):
+        raise ValueError(f"the names of keys and results clash: {keys}, {left_out}, {right_out}")
     l_type, r_type = left.schema[left_id].dataType.simpleString(), right.schema[right_id].dataType.simpleString()
 
     def side(df: DataFrame, own: str, number: int, stretches: Column) -> DataFrame:

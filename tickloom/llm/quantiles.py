@@ -229,13 +229,18 @@ def sketch_column(df: DataFrame, keys: list[str], value: str, k: int = K, fan_in
 def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float], k: int = K, fan_in: int = FAN_IN, n_parts: int | None = None) -> DataFrame:
     """Percentiles of value per key, with a proven bound on the rank error.
 
-    keys must not be empty; a null key is a key like any other. Groups without
-    a finite reading come out with n = 0 and NaN. n_parts bounds the partitions
-    of df and is taken from the session's shuffle partitions if not given.
+    keys must not be empty; a null key is a key like any other, and a key may
+    have any name but those of the results. Groups without a finite reading come
+    out with n = 0 and NaN. n_parts bounds the partitions of df and is counted if
+    not given. Extra columns are ignored.
     """
+    if not keys or set(keys) & {"q", "value", "n", "rank_error", "error_share"}:
+        raise ValueError(f"keys must be given and differ from the names of the results: {keys}")
     n_parts = n_parts or df.rdd.getNumPartitions()
-    parts = merge_sketches(sketch_column(df, keys, value, k, fan_in), keys, n_parts, k, fan_in, MERGE_FAN_IN)
-    return read_quantiles(parts, keys, shares, k, fan_in)
+    names = [f"k{i}" for i in range(len(keys))]
+    plain = df.select(*(F.col(f"`{key}`").alias(n) for key, n in zip(keys, names, strict=True)), F.col(f"`{value}`").alias("v"))
+    parts = merge_sketches(sketch_column(plain, names, "v", k, fan_in), names, n_parts, k, fan_in, MERGE_FAN_IN)
+    return read_quantiles(parts, names, shares, k, fan_in).withColumnsRenamed(dict(zip(names, keys, strict=True)))
 
 
 FRAME_KEYS = ["dataset_source", "feature", "component"]

@@ -31,6 +31,8 @@ SPAN = 100
 #: Bits of a filter, at most: 16 MB for a worker. More blocks than it serves are probed in several passes.
 FILTER_BITS = 1 << 27
 BITS_PER_BLOCK = 16
+#: Code points hashed at a time; a longer text is hashed stretch by stretch.
+STRETCH = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -89,6 +91,16 @@ def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     return own.dropDuplicates(["doc_id", "digest"]).select("digest", F.col("doc_id").alias("rep"), "text"), members.distinct()
 
 
+def stretches_of(points: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A long text in stretches that overlap by size - 1, each with its place: every window lies in just one.
+
+    Places are multiples of size, so the blocks of the text are those of its stretches.
+    """
+    step = max(size, STRETCH // size * size)
+    for at in range(0, max(1, len(points) - size + 1), step):
+        yield at, points[at : at + step + size - 1]
+
+
 def _points(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     for rep, text in zip(batch["rep"].to_pylist(), batch["text"].to_pylist(), strict=True):
         yield rep, code_points(text)
@@ -107,7 +119,7 @@ def block_filter(texts: DataFrame, size: int, bits: int, number: int, passes: in
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(bits >> 3, np.uint8)
         for batch in batches:
-            found = [window_hashes(points, size)[::size] for _, points in _points(batch)]
+            found = [window_hashes(part, size)[::size] for _, points in _points(batch) for _, part in stretches_of(points, size)]
             hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
             hashes = hashes[_of_pass(hashes, number, passes)]
             for at in _filter_bits(hashes, bits):
@@ -144,15 +156,15 @@ def _probe(texts: DataFrame, size: int, bits: int, number: int, passes: int) ->
         held = np.frombuffer(shipped.value, np.uint8)
         for batch in batches:
             for rep, points in _points(batch):
-                hashes = window_hashes(points, size)
-                at = np.flatnonzero(_of_pass(hashes, number, passes))
-                for bit in (0, 1):
-                    place = _filter_bits(hashes[at], bits)[bit]
-                    at = at[(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[at].view(np.int64)), pa.array(np.full(len(at), rep), pa.int64()), pa.array(at.astype(np.int32))], names=["hash", "rep", "place"]
-                    )
+                for begin, part in stretches_of(points, size):
+                    hashes = window_hashes(part, size)
+                    at = np.flatnonzero(_of_pass(hashes, number, passes))
+                    for bit in (0, 1):
+                        place = _filter_bits(hashes[at], bits)[bit]
+                        at = at[(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+                    if len(at):
+                        columns = [pa.array(hashes[at].view(np.int64)), pa.array(np.full(len(at), rep), pa.int64()), pa.array((at + begin).astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["hash", "rep", "place"])
 
     return texts.select("rep", "text").mapInArrow(probe, "hash bigint, rep bigint, place int")
 
@@ -196,12 +208,13 @@ def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text
                 at = found.values.to_numpy()
                 np.add.at(edge, np.clip(at - (span - size), 0, n), 1)
                 np.add.at(edge, np.minimum(at + 1, n), -1)
-                begin = np.flatnonzero(np.cumsum(edge)[:n] > 0)
-                if len(begin):
-                    one, two = window_hashes(points, span, 0)[begin], window_hashes(points, span, 1)[begin]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(np.full(len(begin), rep), pa.int64()), pa.array(begin.astype(np.int32))], names=["one", "two", "rep", "place"]
-                    )
+                wanted = np.cumsum(edge)[:n] > 0
+                for start, part in stretches_of(points, span):
+                    begin = np.flatnonzero(wanted[start : start + len(part) - span + 1])
+                    if len(begin):
+                        one, two = window_hashes(part, span, 0)[begin], window_hashes(part, span, 1)[begin]
+                        columns = [pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(np.full(len(begin), rep), pa.int64()), pa.array((begin + start).astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "rep", "place"])
 
     stretches = numbered.select("rep", "text").join(places, "rep").mapInArrow(extend, "one bigint, two int, rep bigint, place int")
     shared = _in_two(stretches, ["one", "two"]).select("rep", "place")
