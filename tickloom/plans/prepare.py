@@ -40,7 +40,7 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     """
     params = conversion_params(schema, tasks, cap, image_size)
     if not reconvert and dataset.is_prepared(root, params):
-        return dataset._json(dataset.Path(root) / dataset.INFO)
+        return dataset.read_info(root)
     named = catalog.task_catalog(listing, "path", schema.options.get("mcap", {}).get("episode_filename", ""))
     chosen = catalog.select_episodes(named, tasks, "path_task", "listing_pos", cap)
     request = chosen.select(F.col("path").alias("rel_path"), F.col("path_task").alias("task"), "episode_id", "listing_pos")

@@ -2,6 +2,7 @@
 
 data/chunk-<c>/file-<f>.parquet holds the frames of one episode; meta/ holds
 tasks, episodes, info, statistics, the request's fingerprint and the manifest.
+A root is a path or a URI of any file system that Arrow and Spark both know.
 Frames are written by the tasks that hold them: under a temporary name first,
 renamed when complete, so a repeated task leaves one file. The global index is
 computed before the only write.
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,29 +54,70 @@ def resolve_root(root: str | None, source: str, tasks: list[str]) -> str:
     return chosen if "://" in chosen else str(Path(chosen).absolute())
 
 
-def wipe(root: str) -> None:
-    """Empty a dataset root. Refused for /, the home folder, and folders without the fingerprint that marks a dataset."""
-    import shutil
+def _place(root: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a root."""
+    if "://" in root:
+        return pafs.FileSystem.from_uri(root.rstrip("/"))
+    return pafs.LocalFileSystem(), str(Path(root).absolute())
+
+
+def _exists(root: str, rel: str) -> bool:
+    fs, base = _place(root)
+    return fs.get_file_info(f"{base}/{rel}").type != pafs.FileType.NotFound
+
+
+def _get(root: str, rel: str):
+    if not _exists(root, rel):
+        return None
+    fs, base = _place(root)
+    with fs.open_input_stream(f"{base}/{rel}") as f:
+        return json.loads(f.read())
+
+
+def _move_in(fs: pafs.FileSystem, path: str, write) -> None:
+    """Write under another name, then rename: nobody sees half a file, and a repeated task leaves one."""
+    folder, _, name = path.rpartition("/")
+    fs.create_dir(folder, recursive=True)
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    write(part)
+    fs.move(part, path)
+
 
-    path = Path(root).resolve()
-    if path in (Path("/"), Path.home().resolve()) or path in Path.home().resolve().parents:
-        raise UnsafeRoot(f"will not empty {path}")
-    if path.exists():
-        if not (path / PARAMS).exists():
-            raise UnsafeRoot(f"{path} has no {PARAMS}; it is no dataset")
-        shutil.rmtree(path)
+def _put(root: str, rel: str, content: object) -> None:
+    fs, base = _place(root)
 
+    def write(part: str) -> None:
+        with fs.open_output_stream(part) as f:
+            f.write(json.dumps(content, indent=1).encode())
 
-def _json(path: Path):
-    return json.loads(path.read_text()) if path.exists() else None
+    _move_in(fs, f"{base}/{rel}", write)
+
+
+def wipe(root: str) -> None:
+    """Empty a dataset root. Refused for /, a bucket, the home folder and those above it, and folders without the fingerprint that marks a dataset."""
+    fs, base = _place(root)
+    if isinstance(fs, pafs.LocalFileSystem):
+        path, home = Path(base).resolve(), Path.home().resolve()
+        if path in (Path("/"), home, *home.parents):
+            raise UnsafeRoot(f"will not empty {path}")
+    elif "/" not in base.strip("/"):
+        raise UnsafeRoot(f"will not empty {root}")
+    if fs.get_file_info(base).type != pafs.FileType.NotFound:
+        if not _exists(root, PARAMS):
+            raise UnsafeRoot(f"{root} has no {PARAMS}; it is no dataset")
+        fs.delete_dir(base)
 
 
 def read_params(root: str) -> dict | None:
-    return _json(Path(root) / PARAMS)
+    return _get(root, PARAMS)
+
+
+def read_info(root: str) -> dict | None:
+    return _get(root, INFO)
 
 
 def dataset_exists(root: str) -> bool:
-    return (Path(root) / INFO).exists()
+    return _exists(root, INFO)
 
 
 def is_prepared(root: str, params: dict) -> bool:
@@ -82,13 +125,6 @@ def is_prepared(root: str, params: dict) -> bool:
     return dataset_exists(root) and read_params(root) == params
 
 
-def _put(path: Path, content: object) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    part.write_text(json.dumps(content, indent=1))
-    part.rename(path)
-
-
 def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: str, params: dict, manifest: DataFrame | None = None) -> dict:
     """Write frames (episode_index, frame_index, task_index, observation.state, action) as a dataset and return its info.
 
@@ -113,6 +149,8 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
 
+        fs, base = _place(root)
+
         def flush(table: pa.Table, last: bool) -> pa.Table | None:
             episode = table["episode_index"].to_numpy()
             at = 0
@@ -121,11 +159,8 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
                 if end == len(episode) and not last:
                     return table.slice(at)
                 number = int(episode[at])
-                path = Path(root) / DATA_PATH.format(chunk=number // CHUNK_FILES, file=number)
-                path.parent.mkdir(parents=True, exist_ok=True)
-                part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-                pq.write_table(table.slice(at, end - at).rename_columns(names), part)
-                part.rename(path)
+                rows = table.slice(at, end - at).rename_columns(names)
+                _move_in(fs, f"{base}/{DATA_PATH.format(chunk=number // CHUNK_FILES, file=number)}", lambda part, rows=rows: pq.write_table(rows, part, filesystem=fs))
                 at = end
             return None
 
@@ -139,15 +174,15 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     total = sorted_frames.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    meta = Path(root) / "meta"
+    uri = root if "://" in root else _place(root)[1]
     cameras = {f"videos/{c}/{k}": v for c in schema.camera_keys for k, v in (("chunk_index", F.lit(0).cast("bigint")), ("file_index", F.col("episode_index")), ("from_timestamp", F.lit(0.0)))}
     table = episodes.select(
         "episode_index", "length", F.expr(f"episode_index div {CHUNK_FILES}").alias("data/chunk_index"), F.col("episode_index").alias("data/file_index"), *[v.alias(k) for k, v in cameras.items()]
     )
-    table.repartitionByRange(F.col("episode_index")).write.mode("overwrite").parquet(str(meta / "episodes" / "chunk-000"))
-    tasks.select("task_index", "task").coalesce(1).write.mode("overwrite").parquet(str(meta / "tasks.parquet"))
+    table.repartitionByRange(F.col("episode_index")).write.mode("overwrite").parquet(f"{uri}/meta/episodes/chunk-000")
+    tasks.select("task_index", "task").coalesce(1).write.mode("overwrite").parquet(f"{uri}/meta/tasks.parquet")
     if manifest is not None:
-        manifest.write.mode("overwrite").json(str(Path(root) / MANIFEST))
+        manifest.write.mode("overwrite").json(f"{uri}/{MANIFEST}")
     info = {
         "total_frames": int(total), "total_episodes": lengths.count(), "fps": schema.tick_fps, "data_path": DATA_PATH, "video_path": VIDEO_PATH,
         "features": {
@@ -155,16 +190,15 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
             **{f"observation.images.{c}": {"dtype": "video", "shape": [3, *params.get("image_size", [0, 0])]} for c in schema.camera_keys},
         },
     }
-    _put(meta / "stats.json", {})
-    _put(Path(root) / PARAMS, params)
-    _put(Path(root) / INFO, info)  # last: it makes the dataset exist
+    _put(root, "meta/stats.json", {})
+    _put(root, PARAMS, params)
+    _put(root, INFO, info)  # last: it makes the dataset exist
     spark.catalog.refreshByPath(root)
     return info
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    path = Path(root) / MANIFEST
-    return spark.read.json(str(path)) if path.exists() else None
+    return spark.read.json(f"{root}/{MANIFEST}") if _exists(root, MANIFEST) else None
 
 
 def read_frames(spark: SparkSession, root: str) -> DataFrame:
