@@ -7,9 +7,10 @@ rolling window of every text is probed:
 
 1. Exact copies are put together; a text with copies is shared as a whole.
 2. The blocks' hashes form a bit filter of bounded size. Windows that pass it
-   are grouped by hash; a hash in two different texts is an anchor.
-3. Anchors are extended: each stretch of `span` code points around an anchor is
-   hashed (96 bits), and is shared if two texts have it. Overlapping shared
+   are grouped by hash; a hash in two different texts is an anchor, of one kind
+   where it is a block of its own text, of the other where it is one of another.
+3. Anchors are extended: each stretch of `span` code points that holds an anchor
+   of both kinds is hashed (96 bits), and is shared if two texts have it. Overlapping shared
    stretches make up the maximal exact repeats, without any pair of texts.
 
 All groups are reduced by minimum and maximum of the text ids, map-side first.
@@ -175,6 +176,22 @@ def _in_two(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(groups, keys)
 
 
+def _anchors(windows: DataFrame, size: int) -> DataFrame:
+    """rep and code (place * 4 + kinds) of the windows that another text has too.
+
+    Kind 1: a block of this text. Kind 2: a block of another text. A stretch of
+    span code points that stands in two texts holds a block of either, and both
+    are windows of both: so it has an anchor of each kind.
+    """
+    block = F.col("place") % size == 0
+    groups = windows.groupBy("hash").agg(
+        F.min("rep").alias("_a"), F.max("rep").alias("_b"), F.min(F.when(block, F.col("rep"))).alias("_c"), F.max(F.when(block, F.col("rep"))).alias("_d")
+    )
+    both = windows.join(groups.where("_a <> _b and _c is not null"), "hash")
+    kinds = F.when(block, 1).otherwise(0) + F.when((F.col("_c") != F.col("rep")) | (F.col("_d") != F.col("rep")), 2).otherwise(0)
+    return both.withColumn("_kinds", kinds).where("_kinds > 0").select("rep", (F.col("place").cast("bigint") * 4 + F.col("_kinds")).alias("code"))
+
+
 def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """doc_id, shared_chars: how many code points of a text lie in a span of at least `span` that stands in the text of another id.
 
@@ -197,18 +214,20 @@ def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text
         part = _probe(numbered, size, bits, number, passes)
         windows = part if windows is None else windows.unionByName(part)
     # read twice, by the grouping and by the join: kept, so that the texts are hashed once
-    anchors = _in_two(materialize(windows, "span-windows"), ["hash"]).select("rep", "place")
-    places = anchors.groupBy("rep").agg(F.collect_list("place").alias("places"))  # at most one a code point
+    places = _anchors(materialize(windows, "span-windows"), size).groupBy("rep").agg(F.collect_list("code").alias("places"))  # at most one a code point
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (rep, points), found in zip(_points(batch), batch["places"], strict=True):
                 n = len(points) - span + 1
-                edge = np.zeros(n + 1, np.int64)
-                at = found.values.to_numpy()
-                np.add.at(edge, np.clip(at - (span - size), 0, n), 1)
-                np.add.at(edge, np.minimum(at + 1, n), -1)
-                wanted = np.cumsum(edge)[:n] > 0
+                code = found.values.to_numpy()
+                wanted = np.ones(n, bool)
+                for kind in (1, 2):
+                    at = code[code & kind > 0] >> 2
+                    edge = np.zeros(n + 1, np.int64)
+                    np.add.at(edge, np.clip(at - (span - size), 0, n), 1)
+                    np.add.at(edge, np.minimum(at + 1, n), -1)
+                    wanted &= np.cumsum(edge)[:n] > 0
                 for start, part in stretches_of(points, span):
                     begin = np.flatnonzero(wanted[start : start + len(part) - span + 1])
                     if len(begin):
