@@ -186,3 +186,43 @@ def test_windows_and_sessions_over_a_stream(spark, tmp_path):
     batch = incremental.sessions(spark.read.parquet(source), "ts", ["k"], "50 minutes")
     assert sorted((r.k, r.n) for r in batch.collect()) == [(0, 5), (1, 5)]
     assert incremental.windowed(spark.read.parquet(source), "ts", ["k"], "v", "2 hours", "1 hour").where(F.col("n") > 0).count() > 0
+
+
+def with_cameras(spark, lacking=()):
+    """Two episodes: a camera that starts 200 ms before and ends 300 ms after the vectors, by two topics of which one comes first."""
+    at = 1_000_000_000
+    rows = [(e, t, at + k * 50_000_000, 100 + k, [float(k)] * (2 if t == "/s" else 1), None) for e in ("e0", "e1") for t in ("/s", "/a", "/g") for k in range(12)]
+    shots = [-200, -90, 5, 340, 850]
+    for e in ("e0", "e1"):
+        if e not in lacking:
+            rows += [(e, "/top-b", at + ms * 1_000_000, 9 - i, None, f"{e}:{ms}".encode()) for i, ms in enumerate(shots)]
+            rows += [(e, "/top-a", at + 5_000_000_000, 50, None, b"other station"), (e, "/top-b", at, 60, None, None)]
+    return spark.createDataFrame(rows, "episode_id string, topic string, log_time bigint, seq bigint, value array<double>, data binary")
+
+
+def test_prepare_carries_cameras(spark, tmp_path, small):
+    from bisect import bisect_right
+
+    target = str(tmp_path / "set")
+    two = schema.RobotSchema(**{**small.__dict__, "options": {"mcap": {"episode_filename": "episode.mcap", "top_topics": ["/top-a", "/top-b"]}}})
+    names = [("fold", "e0"), ("fold", "e1")]
+    run = lambda cap, m: prep.prepare(spark, m, listed(spark, names), two, ["fold"], cap, target)
+    assert run(1, with_cameras(spark))["total_episodes"] == 1
+    info = run(2, with_cameras(spark))  # the first episode is taken over
+    ticks = range(-200, 850, 100)  # over all topics
+    assert (info["total_episodes"], info["total_frames"]) == (2, 2 * len(ticks)) and info["features"]["camera_frame.top"]["dtype"] == "int64"
+    shots = [-200, -90, 5, 340, 850]
+    for i, e in enumerate(("e0", "e1")):
+        frames = root.read_frames(spark, target).where(f"episode_index = {i}").orderBy("frame_index").collect()
+        assert [r["camera_frame.top"] for r in frames] == [bisect_right(shots, t) - 1 for t in ticks]
+        assert [r["action"][0] for r in frames] == [float(min(max(t // 50, 0), 11)) for t in ticks]
+        kept = root.read_cameras(spark, target).where(f"episode_index = {i}").orderBy("frame").collect()
+        assert [(r.camera, r.frame, r.log_time, bytes(r.data)) for r in kept] == [("top", k, 1_000_000_000 + ms * 1_000_000, f"{e}:{ms}".encode()) for k, ms in enumerate(shots)]
+
+
+def test_prepare_rejects_lacking_camera(spark, tmp_path, small):
+    two = schema.RobotSchema(**{**small.__dict__, "options": {"mcap": {"episode_filename": "episode.mcap", "top_topics": ["/top-a", "/top-b"]}}})
+    messages = with_cameras(spark, lacking=("e0",))
+    info = prep.prepare(spark, messages, listed(spark, [("fold", "e0"), ("fold", "e1")]), two, ["fold"], 5, str(tmp_path / "set"))
+    assert info["total_episodes"] == 1
+    assert [(r.episode_id, r.reason) for r in prep.rejects(messages, two).collect()] == [("e0", "no message of camera top")]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import actions, split, stats
 from tickloom.schema import RobotSchema
 from tickloom.operators.chunk import action_chunks
-from tickloom.sources.root import read_training_rows
+from tickloom.sources.root import CAMERA_FRAME, read_training_rows
 
 
 @dataclass
@@ -64,12 +64,12 @@ def unknown_cameras(modes: dict[str, str], schema: RobotSchema) -> set[str]:
 
 
 def direct_rows(messages: DataFrame, tasks: DataFrame, schema: RobotSchema, chunk_size: int) -> DataFrame:
-    """Training rows straight from raw messages, without a dataset on disk: task, observation.state, action, action_is_pad.
+    """Training rows straight from raw messages, without a dataset on disk: task, observation.state, action, action_is_pad and the numbers of the camera frames.
 
-    tasks: episode_id and task. Episodes that lack a topic give no rows.
+    tasks: episode_id and task. Episodes that lack a topic or camera give no rows.
     """
     from tickloom.plans.prepare import aligned_frames
 
     rows = action_chunks(aligned_frames(messages, schema), ["episode_id"], "frame_index", "action", chunk_size)
     named = rows.join(tasks.select("episode_id", "task"), "episode_id", "left")
-    return named.select("episode_id", "frame_index", "task", "`observation.state`", F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad"))
+    return named.select("episode_id", "frame_index", "task", "`observation.state`", F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad"), *(f"`{c}`" for c in named.columns if c.startswith(CAMERA_FRAME)))

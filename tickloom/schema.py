@@ -41,6 +41,14 @@ class RobotSchema:
     def step_ns(self) -> int:
         return int(1e9 / self.tick_fps)
 
+    @property
+    def camera_topics(self) -> dict[str, tuple[str, ...]]:
+        """Camera -> topics that may carry it, by the mcap block: top_topics, wrist_camera_topics; others '/<camera>'."""
+        declared = self.options.get("mcap") or {}
+        named = {"top": declared.get("top_topics"), **(declared.get("wrist_camera_topics") or {})}
+        found = {c: named.get(c) or f"/{c}" for c in self.camera_keys}
+        return {c: (t,) if isinstance(t, str) else tuple(t) for c, t in found.items()}
+
     def select_action_space(self, space: str | None) -> RobotSchema:
         """The schema with the actions of one space and those that belong to no space; None changes nothing."""
         if space is None:

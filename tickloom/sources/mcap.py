@@ -8,7 +8,8 @@ path, topic, log_time, seq (place in the file), value and data. Only records of
 wanted topics are decoded; a filter on topic is pushed down. A message becomes a
 vector if its encoding is json (a list, or an object with a list `value`) or f64
 (little-endian doubles), or one that is added to DECODERS; other bytes stay in
-`data`. A file that breaks off gives what was read, then a row with `error`.
+`data`, and so do those of the topics in the option `raw`, whatever their
+encoding: cameras. A file that breaks off gives what was read, then a row with `error`.
 """
 
 from __future__ import annotations
@@ -141,8 +142,9 @@ class _File(InputPartition):
 
 class _McapReader(DataSourceReader):
     def __init__(self, options: dict):
-        wanted = options.get("topics", "")
-        self.topics: set[str] | None = {t.strip() for t in wanted.split(",") if t.strip()} or None
+        listed = lambda name: {t.strip() for t in options.get(name, "").split(",") if t.strip()}
+        self.topics: set[str] | None = listed("topics") or None
+        self.raw = listed("raw")
         self.root, self.suffix = options.get("path", ""), options.get("suffix", ".mcap")
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -162,7 +164,7 @@ class _McapReader(DataSourceReader):
         path = partition.value
         try:
             for topic, log_time, seq, encoding, schema, data in messages(Path(path).read_bytes(), self.topics):
-                decoder = DECODERS.get(encoding)
+                decoder = None if topic in self.raw else DECODERS.get(encoding)
                 value = decoder(data, schema) if decoder else None
                 yield episode_id(path), path, topic, log_time, seq, value, None if decoder else data, None
         except (BrokenFile, ValueError, struct.error) as e:

@@ -6,10 +6,15 @@ A root is a path or a URI of any file system that Arrow and Spark both know.
 Frames are written by the tasks that hold them: under a temporary name first,
 renamed when complete, so a repeated task leaves one file. The global index is
 computed before the only write.
+
+videos/ holds the encoded frames of one camera of one episode per file, as they
+were recorded (columns of CAMERA_ROWS); a row of data/ names the frame that it
+shows in camera_frame.<key>. They are not encoded anew as mp4.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import uuid
@@ -30,6 +35,10 @@ from tickloom.schema import RobotSchema
 CHUNK_FILES = 1000
 DATA_PATH = "data/chunk-{chunk:03d}/file-{file:06d}.parquet"
 VIDEO_PATH = "videos/{key}/chunk-000/file-{file:06d}.mp4"
+CAMERA_PATH = "videos/{key}/chunk-000/file-{file:06d}.parquet"
+#: Columns of data/ with the number of the camera frame that a row shows.
+CAMERA_FRAME = "camera_frame."
+CAMERA_ROWS = pa.schema([("episode_index", pa.int64()), ("camera", pa.string()), ("frame", pa.int64()), ("log_time", pa.int64()), ("format", pa.string()), ("data", pa.binary())])
 PARAMS, MANIFEST, INFO = "meta/conversion_params.json", "meta/episode_manifest.json", "meta/info.json"
 
 
@@ -125,11 +134,12 @@ def is_prepared(root: str, params: dict) -> bool:
     return dataset_exists(root) and read_params(root) == params
 
 
-def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: str, params: dict, manifest: DataFrame | None = None) -> dict:
+def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: str, params: dict, manifest: DataFrame | None = None, cameras: DataFrame | None = None) -> dict:
     """Write frames (episode_index, frame_index, task_index, observation.state, action) as a dataset and return its info.
 
     timestamp is frame_index / fps, vectors become 32-bit, index runs over all
     episodes. Every task_index in use must be in tasks (task_index, task).
+    cameras: rows of CAMERA_ROWS, which camera_frame.<key> of frames count.
     """
     spark = frames.sparkSession
     if lacking := [r.task_index for r in missing_tasks(frames, tasks).limit(5).collect()]:
@@ -140,7 +150,7 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
         F.col("index").cast("bigint").alias("index"), F.col("episode_index").cast("bigint").alias("episode_index"), F.col("frame_index").cast("bigint").alias("frame_index"),
         (F.col("frame_index") / F.lit(schema.tick_fps)).alias("timestamp"), F.col("task_index").cast("bigint").alias("task_index"),
         F.col("`observation.state`").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"),
-        *[F.col(f"`{c}`") for c in frames.columns if c.startswith("depth.")],
+        *[F.col(f"`{c}`") for c in frames.columns if c.startswith(("depth.", CAMERA_FRAME))],
     )
     names = full.columns
     # mapInArrow takes no column names with dots; the tasks put the real ones back
@@ -174,6 +184,8 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     total = sorted_frames.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if cameras is not None:
+        _write_cameras(cameras, root)
     uri = root if "://" in root else _place(root)[1]
     cameras = {f"videos/{c}/{k}": v for c in schema.camera_keys for k, v in (("chunk_index", F.lit(0).cast("bigint")), ("file_index", F.col("episode_index")), ("from_timestamp", F.lit(0.0)))}
     table = episodes.select(
@@ -184,10 +196,11 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
     if manifest is not None:
         manifest.write.mode("overwrite").json(f"{uri}/{MANIFEST}")
     info = {
-        "total_frames": int(total), "total_episodes": lengths.count(), "fps": schema.tick_fps, "data_path": DATA_PATH, "video_path": VIDEO_PATH,
+        "total_frames": int(total), "total_episodes": lengths.count(), "fps": schema.tick_fps, "data_path": DATA_PATH, "video_path": VIDEO_PATH if cameras is None else CAMERA_PATH,
         "features": {
             "observation.state": {"dtype": "float32", "shape": [schema.state_dim]}, "action": {"dtype": "float32", "shape": [schema.action_dim]},
             **{f"observation.images.{c}": {"dtype": "video", "shape": [3, *params.get("image_size", [0, 0])]} for c in schema.camera_keys},
+            **{c: {"dtype": "int64", "shape": [1]} for c in frames.columns if c.startswith(CAMERA_FRAME)},
         },
     }
     _put(root, "meta/stats.json", {})
@@ -197,6 +210,45 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
     return info
 
 
+def _write_cameras(cameras: DataFrame, root: str) -> None:
+    """A file per episode and camera, written row group by row group."""
+    names = CAMERA_ROWS.names
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = _place(root)
+        rows = (batch.slice(lo, hi - lo) for batch in batches for lo, hi in _runs(batch))
+        n = 0
+        for (number, camera), parts in itertools.groupby(rows, lambda b: (b["episode_index"][0].as_py(), b["camera"][0].as_py())):
+
+            def fill(part: str, parts=parts) -> None:
+                nonlocal n
+                with pq.ParquetWriter(part, CAMERA_ROWS, filesystem=fs) as out:
+                    for b in parts:
+                        n += b.num_rows
+                        out.write_table(pa.Table.from_batches([b]).cast(CAMERA_ROWS))
+
+            _move_in(fs, f"{base}/{CAMERA_PATH.format(key=camera, file=number)}", fill)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    ordered = cameras.select(*names).repartition("episode_index", "camera").sortWithinPartitions("episode_index", "camera", "frame")
+    ordered.mapInArrow(write, "n bigint").agg(F.sum("n")).first()
+
+
+def _runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Stretches of a batch that belong to one episode and camera."""
+    keys = list(zip(batch["episode_index"].to_pylist(), batch["camera"].to_pylist(), strict=True))
+    cuts = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+    return list(zip([0, *cuts], [*cuts, len(keys)], strict=True)) if keys else []
+
+
+def read_cameras(spark: SparkSession, root: str) -> DataFrame:
+    """The encoded camera frames of a dataset, CAMERA_ROWS; none if it was written without."""
+    kinds = "episode_index bigint, camera string, frame bigint, log_time bigint, format string, data binary"
+    if not _exists(root, "videos"):
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).option("recursiveFileLookup", True).parquet(f"{root}/videos")
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.json(f"{root}/{MANIFEST}") if _exists(root, MANIFEST) else None
 
