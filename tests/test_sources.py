@@ -226,3 +226,67 @@ def test_prepare_rejects_lacking_camera(spark, tmp_path, small):
     info = prep.prepare(spark, messages, listed(spark, [("fold", "e0"), ("fold", "e1")]), two, ["fold"], 5, str(tmp_path / "set"))
     assert info["total_episodes"] == 1
     assert [(r.episode_id, r.reason) for r in prep.rejects(messages, two).collect()] == [("e0", "no message of camera top")]
+
+
+def descriptors():
+    """Vector and camera messages; the file that both import comes last."""
+    from google.protobuf import descriptor_pb2
+
+    found = descriptor_pb2.FileDescriptorSet()
+    for name, needs, kind, fields in (("m.proto", ["t.proto"], "Joints", (("at", 1, 11, 1), ("position", 2, 1, 3))), ("c.proto", ["t.proto"], "Shot", (("at", 1, 11, 1), ("data", 2, 12, 1), ("format", 3, 9, 1))), ("t.proto", [], "At", (("ns", 1, 3, 1),))):
+        file = found.file.add(name=name, package="rec", syntax="proto3", dependency=needs)
+        message = file.message_type.add(name=kind)
+        for field, number, kind_of, label in fields:
+            message.field.add(name=field, number=number, type=kind_of, label=label, type_name=".rec.At" if kind_of == 11 else None)
+    return found.SerializeToString()
+
+
+def write_protobuf(path, vectors, shots):
+    """vectors: topic -> width, 12 messages each; shots: (topic, ms) of camera messages."""
+    from tickloom.sources.protobuf import message_class
+
+    known = descriptors()
+    joints, shot = message_class("rec.Joints", known), message_class("rec.Shot", known)
+    rows = [(t, 10**9 + k * 50_000_000, joints(position=[float(k)] * n).SerializeToString()) for t, n in vectors.items() for k in range(12)]
+    rows += [(t, 10**9 + ms * 1_000_000, shot(data=f"{t}{ms}".encode(), format="h264").SerializeToString()) for t, ms in shots]
+    path.parent.mkdir(parents=True)
+    mcap.write_mcap(path, rows, schemas={t: ("rec.Joints", known) for t in vectors} | {t: ("rec.Shot", known) for t, _ in shots}, compression="zstd")
+
+
+def test_mcap_protobuf_and_uris(spark, tmp_path):
+    spark.dataSource.register(mcap.McapSource)
+    write_protobuf(tmp_path / "episode_u" / "episode.mcap", {"/s": 2}, [("/top", 7)])
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        rows = spark.read.format("mcap").option("raw", "/top").load(path).orderBy("seq").collect()
+        assert [r.error for r in rows] == [None] * 13 and [r.value for r in rows[:12]] == [[float(k)] * 2 for k in range(12)]
+        assert (rows[12].value, bytes(rows[12].data), rows[12].format) == (None, b"/top7", "h264")
+    lost = spark.read.format("mcap").option("value_field", "effort").load(str(tmp_path)).where("topic = '/s'").collect()
+    assert all(r.value is None and r.data for r in lost)
+    cut = (tmp_path / "episode_u" / "episode.mcap").read_bytes()[:-60]
+    (tmp_path / "episode_u" / "episode.mcap").write_bytes(cut)
+    assert "cut off" in spark.read.format("mcap").load(str(tmp_path)).where("error is not null").first().error
+
+
+@pytest.mark.parametrize("source", [mcap.McapSource, tar.TarSource])
+def test_sources_refuse_roots_that_are_not_there(spark, tmp_path, source):
+    spark.dataSource.register(source)
+    with pytest.raises(Exception, match="does not exist"):
+        spark.read.format(source.name()).load(str(tmp_path / "none")).count()
+
+
+def test_cli_converts_protobuf_recordings(spark, tmp_path):
+    s = schema.load_schema("packline")
+    vectors = dict((*s.state_components, *s.action_components))
+    shots = [("/top", -100), ("/top", 300), ("/left-wrist-camera", 0), ("/right-wrist-camera", 5)]
+    write_protobuf(tmp_path / "in/data/train/fold/episode_e0/episode.mcap", vectors, shots)
+    write_protobuf(tmp_path / "in/data/train/fold/episode_e1/episode.mcap", vectors, shots[:2])  # no wrist cameras
+    assert cli.main(["prepare", "--dataset-source", "packline", "--source-uri", str(tmp_path / "in"), "--tasks", "fold", "--root", str(tmp_path / "out")]) == 0
+    frames = root.read_frames(spark, str(tmp_path / "out")).orderBy("frame_index").collect()
+    assert [r["camera_frame.top"] for r in frames] == [0] * 8 + [1] * 5 and len(frames[0]["observation.state"]) == s.state_dim
+    kept = root.read_cameras(spark, str(tmp_path / "out")).orderBy("camera", "frame").collect()
+    assert [(r.camera, bytes(r.data), r.format) for r in kept] == [("left_wrist", b"/left-wrist-camera0", "h264"), ("right_wrist", b"/right-wrist-camera5", "h264"), ("top", b"/top-100", "h264"), ("top", b"/top300", "h264")]
+
+
+def test_rejects_name_undecoded_topics(spark, small):
+    messages = recorded(spark, ["e0"]).withColumn("value", F.when(F.col("topic") != "/g", F.col("value")))
+    assert [r.reason for r in prep.rejects(messages, small).collect()] == ["no message of /g"]

@@ -61,7 +61,9 @@ def main(argv: list[str] | None = None) -> int:
         s = schemas.load_schema(args.dataset_source)
         cameras = [t for topics in s.camera_topics.values() for t in topics]
         topics = ",".join([*(n for n, _ in (*s.state_components, *s.action_components)), *cameras])
-        messages = spark.read.format("mcap").option("topics", topics).option("raw", ",".join(cameras)).load(args.source_uri).where("topic is not null")
+        declared = s.options.get("mcap") or {}
+        fields = {k: declared[d] for k, d in (("value_field", "state_value_field"), ("data_field", "camera_data_field"), ("format_field", "camera_format_field")) if d in declared}
+        messages = spark.read.format("mcap").options(topics=topics, raw=",".join(cameras), **fields).load(args.source_uri).where("topic is not null")
         info = prepare(spark, messages, _episodes(spark, args.source_uri, "*.mcap"), s, args.tasks, args.max_episodes_per_task, root.resolve_root(args.root, args.dataset_source, args.tasks), reconvert=args.reconvert)
         print(f"{info['total_episodes']} episodes, {info['total_frames']} frames")
     elif args.command == "verify":

@@ -80,7 +80,8 @@ def rejects(messages: DataFrame, schema: RobotSchema) -> DataFrame:
     names = [*_vector_topics(schema), *(f"camera {c}" for c in _cameras(messages, schema))]
     signals = _signals(messages, schema)
     all_episodes = messages.select("episode_id", F.lit(None).cast("string").alias("topic")).distinct()
-    lacking = align.missing_topics(signals.select("episode_id", "topic").unionByName(all_episodes), "episode_id", "topic", names).select("episode_id", F.concat(F.lit("no message of "), "topic").alias("reason"))
+    # messages that were not decoded have no value and are none
+    lacking = align.missing_topics(signals.select("episode_id", F.when(F.col("value").isNotNull(), F.col("topic")).alias("topic")).unionByName(all_episodes), "episode_id", "topic", names).select("episode_id", F.concat(F.lit("no message of "), "topic").alias("reason"))
     short = align.spans_of(signals, ["episode_id"], "log_time").where("start_ns = end_ns").select("episode_id", F.lit("too short").alias("reason"))
     return lacking.unionByName(short)
 

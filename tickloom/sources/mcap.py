@@ -4,24 +4,34 @@
     spark.read.format("mcap").option("topics", "/a,/b").load("/recordings")
 
 Columns: episode_id (the folder 'episode_<id>' of the file, else its path),
-path, topic, log_time, seq (place in the file), value and data. Only records of
-wanted topics are decoded; a filter on topic is pushed down. A message becomes a
-vector if its encoding is json (a list, or an object with a list `value`) or f64
-(little-endian doubles), or one that is added to DECODERS; other bytes stay in
-`data`, and so do those of the topics in the option `raw`, whatever their
-encoding: cameras. A file that breaks off gives what was read, then a row with `error`.
+path, topic, log_time, seq (place in the file), value, data and format. Only
+records of wanted topics are decoded; a filter on topic is pushed down. A message
+becomes a vector if its encoding is json (a list, or an object with a list
+`value`), f64 (little-endian doubles), protobuf (the field that the option
+`value_field` names, by the file's own descriptors), or one that is added to
+DECODERS; other bytes stay in `data`. Topics in the option `raw` are cameras:
+`data` and `format` are those fields of a protobuf message (options `data_field`,
+`format_field`), the whole message in other encodings. A file that breaks off or
+holds a message that cannot be read gives what was read, then a row with `error`.
+
+The path is local or a URI that Arrow knows (s3, s3a, gs, hdfs); files are read
+from front to back, record by record. A path that does not exist is an error.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import struct
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import BinaryIO
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
+from tickloom.sources.files import files_below, open_stream
+
 # Fixed values of the file format.
 MAGIC = b"\x89MCAP0\r\n"
 SCHEMA, CHANNEL, MESSAGE, CHUNK, DATA_END = 3, 4, 5, 6, 15
@@ -59,6 +69,15 @@ def _records(b: bytes, at: int) -> Iterator[tuple[int, bytes]]:
         at += 9 + n
 
 
+def _streamed(f: BinaryIO) -> Iterator[tuple[int, bytes]]:
+    while len(head := f.read(9)) == 9:
+        op, n = struct.unpack("<BQ", head)
+        body = f.read(n)
+        if len(body) < n:
+            raise BrokenFile(f"a record of {n} bytes is cut off after {len(body)}")
+        yield op, body
+
+
 def _inflate(name: str, data: bytes, size: int) -> bytes:
     if name == "":
         return data
@@ -75,52 +94,61 @@ def _inflate(name: str, data: bytes, size: int) -> bytes:
 
 def messages(content: bytes, topics: set[str] | None = None) -> Iterator[tuple[str, int, int, str, bytes, bytes]]:
     """(topic, log_time, seq, encoding, schema, data) of the wanted messages in file order."""
-    if not content.startswith(MAGIC):
+    for topic, log_time, seq, encoding, _, schema, data in streamed_messages(io.BytesIO(content), topics):
+        yield topic, log_time, seq, encoding, schema, data
+
+
+def streamed_messages(f: BinaryIO, topics: set[str] | None = None) -> Iterator[tuple[str, int, int, str, str, bytes, bytes]]:
+    """(topic, log_time, seq, encoding, schema name, schema, data) of the wanted messages of a file that is read once, without seeking."""
+    if f.read(len(MAGIC)) != MAGIC:
         raise BrokenFile("no MCAP file")
-    schemas: dict[int, bytes] = {}
-    channels: dict[int, tuple[str, str, bytes]] = {}
+    schemas: dict[int, tuple[str, bytes]] = {}
+    channels: dict[int, tuple[str, str, str, bytes]] = {}
     seq = 0
 
-    def walk(b: bytes, at: int) -> Iterator[tuple[str, int, int, str, bytes, bytes]]:
+    def walk(records: Iterator[tuple[int, bytes]]) -> Iterator[tuple[str, int, int, str, str, bytes, bytes]]:
         nonlocal seq
-        for op, r in _records(b, at):
+        for op, r in records:
             if op == SCHEMA:
                 (number,) = struct.unpack_from("<H", r)
-                _, k = _text(r, 2)
+                name, k = _text(r, 2)
                 _, k = _text(r, k)
-                schemas[number] = r[k + 4 :]
+                schemas[number] = name, r[k + 4 :]
             elif op == CHANNEL:
                 number, schema = struct.unpack_from("<HH", r)
                 topic, k = _text(r, 4)
                 encoding, k = _text(r, k)
-                channels[number] = (topic, encoding, schemas.get(schema, b""))
+                channels[number] = (topic, encoding, *schemas.get(schema, ("", b"")))
             elif op == MESSAGE:
                 number, _, log_time, _ = struct.unpack_from("<HIQQ", r)
                 if number not in channels:
                     raise BrokenFile(f"channel {number} is not declared")
-                topic, encoding, schema = channels[number]
+                topic, encoding, kind, schema = channels[number]
                 if topics is None or topic in topics:
-                    yield topic, log_time, seq, encoding, schema, r[22:]
+                    yield topic, log_time, seq, encoding, kind, schema, r[22:]
                 seq += 1
             elif op == CHUNK:
                 _, _, size, _ = struct.unpack_from("<QQQI", r)
                 name, k = _text(r, 28)
-                yield from walk(_inflate(name, r[k + 8 :], size), 0)
+                yield from walk(_records(_inflate(name, r[k + 8 :], size), 0))
             elif op == DATA_END:
                 return
 
-    yield from walk(content, len(MAGIC))
+    yield from walk(_streamed(f))
 
 
-def write_mcap(path: str | Path, rows: list[tuple[str, int, bytes]], encoding: str = "f64", compression: str = "") -> None:
-    """Write (topic, log_time, data) messages as one chunk."""
+def write_mcap(path: str | Path, rows: list[tuple[str, int, bytes]], encoding: str = "f64", compression: str = "", schemas: dict[str, tuple[str, bytes]] | None = None) -> None:
+    """Write (topic, log_time, data) messages as one chunk. schemas: topic -> message name and descriptors of topics in protobuf."""
     text = lambda s: struct.pack("<I", len(s)) + s.encode()
     record = lambda op, body: struct.pack("<BQ", op, len(body)) + body
     inner, numbers = b"", {}
     for i, (topic, log_time, data) in enumerate(rows):
         if topic not in numbers:
             numbers[topic] = len(numbers) + 1
-            inner += record(CHANNEL, struct.pack("<HH", numbers[topic], 0) + text(topic) + text(encoding) + struct.pack("<I", 0))
+            name, descriptors = (schemas or {}).get(topic, ("", b""))
+            if name:
+                inner += record(SCHEMA, struct.pack("<H", numbers[topic]) + text(name) + text("protobuf") + struct.pack("<I", len(descriptors)) + descriptors)
+            inner += record(CHANNEL, struct.pack("<HH", numbers[topic], numbers[topic] if name else 0) + text(topic) + text("protobuf" if name else encoding) + struct.pack("<I", 0))
         inner += record(MESSAGE, struct.pack("<HIQQ", numbers[topic], i, log_time, log_time) + data)
     packed = inner
     if compression == "zstd":
@@ -146,6 +174,7 @@ class _McapReader(DataSourceReader):
         self.topics: set[str] | None = listed("topics") or None
         self.raw = listed("raw")
         self.root, self.suffix = options.get("path", ""), options.get("suffix", ".mcap")
+        self.value_field, self.data_field, self.format_field = (options.get(k, d) for k, d in (("value_field", "position"), ("data_field", "data"), ("format_field", "format")))
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -156,19 +185,29 @@ class _McapReader(DataSourceReader):
                 self.topics = names if self.topics is None else self.topics & names
 
     def partitions(self) -> list[InputPartition]:
-        root = Path(self.root)
-        files = [root] if root.is_file() else sorted(root.rglob(f"*{self.suffix}"))
-        return [_File(str(p)) for p in files]
+        return [_File(p) for p in files_below(self.root, self.suffix)]
+
+    def _decoded(self, topic: str, encoding: str, name: str, schema: bytes, data: bytes) -> tuple[list[float] | None, bytes | None, str | None]:
+        """value, data and format of a message."""
+        if encoding == "protobuf" and encoding not in DECODERS:
+            from tickloom.sources import protobuf
+
+            m = protobuf.parsed(data, name, schema)
+            if topic in self.raw:
+                return None, *protobuf.frame(m, self.data_field, self.format_field)
+            value = protobuf.vector(m, self.value_field)
+            return value, data if value is None else None, None
+        decoder = None if topic in self.raw else DECODERS.get(encoding)
+        return (decoder(data, schema), None, None) if decoder else (None, data, None)
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         path = partition.value
         try:
-            for topic, log_time, seq, encoding, schema, data in messages(Path(path).read_bytes(), self.topics):
-                decoder = None if topic in self.raw else DECODERS.get(encoding)
-                value = decoder(data, schema) if decoder else None
-                yield episode_id(path), path, topic, log_time, seq, value, None if decoder else data, None
-        except (BrokenFile, ValueError, struct.error) as e:
-            yield episode_id(path), path, None, None, None, None, None, str(e)
+            with open_stream(path) as f:
+                for topic, log_time, seq, *message in streamed_messages(f, self.topics):
+                    yield episode_id(path), path, topic, log_time, seq, *self._decoded(topic, *message), None
+        except (BrokenFile, ValueError, OSError, struct.error) as e:
+            yield episode_id(path), path, None, None, None, None, None, None, str(e)
 
 
 class McapSource(DataSource):
@@ -177,7 +216,7 @@ class McapSource(DataSource):
         return "mcap"
 
     def schema(self) -> str:
-        return "episode_id string, path string, topic string, log_time bigint, seq bigint, value array<double>, data binary, error string"
+        return "episode_id string, path string, topic string, log_time bigint, seq bigint, value array<double>, data binary, format string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _McapReader(self.options)

@@ -5,19 +5,21 @@
 
 Columns: tar_path, name, size, content. names and prefixes choose the members;
 without both all files are given. Reading stops as soon as all names are found,
-if there are no prefixes. A member above 2 GB is an error.
+if there are no prefixes. A member above 2 GB is an error, and so is a path that
+does not exist; it is local or a URI that Arrow knows (s3, s3a, gs, hdfs).
 """
 
 from __future__ import annotations
 
 import tarfile
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tickloom.sources.files import files_below, open_stream
+
 MEMBER_CAP = 2 << 30
 
 
@@ -27,7 +29,7 @@ def _listed(text: str | None) -> list[str]:
 
 def members(path: str, names: set[str], prefixes: tuple[str, ...]) -> Iterator[tuple[str, int, bytes]]:
     left = set(names)
-    with tarfile.open(path, "r|*") as tar:
+    with open_stream(path) as f, tarfile.open(fileobj=f, mode="r|*") as tar:
         for m in tar:
             if not m.isfile() or not (not names and not prefixes or m.name in names or m.name.startswith(prefixes or ("\0",))):
                 continue
@@ -45,8 +47,7 @@ class _TarReader(DataSourceReader):
         self.names, self.prefixes = set(_listed(options.get("names"))), tuple(_listed(options.get("prefixes")))
 
     def partitions(self) -> list[InputPartition]:
-        root = Path(self.root)
-        return [InputPartition(str(p)) for p in ([root] if root.is_file() else sorted(root.rglob("*.tar")))]
+        return [InputPartition(p) for p in files_below(self.root, ".tar")]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         for name, size, content in members(partition.value, self.names, self.prefixes):
