@@ -290,3 +290,17 @@ def test_cli_converts_protobuf_recordings(spark, tmp_path):
 def test_rejects_name_undecoded_topics(spark, small):
     messages = recorded(spark, ["e0"]).withColumn("value", F.when(F.col("topic") != "/g", F.col("value")))
     assert [r.reason for r in prep.rejects(messages, small).collect()] == ["no message of /g"]
+
+
+def test_training_rows_keep_depth_and_images(spark, tmp_path, small):
+    target = str(tmp_path / "set")
+    flat = [float(x) for x in range(6)]
+    frames = spark.createDataFrame([(0, t, 0, [0.0, 0.0], [float(t), 0.0], [x + t for x in flat], [t, 9], 3 * t) for t in range(3)], "episode_index bigint, frame_index bigint, task_index bigint, `observation.state` array<double>, action array<double>, `depth.head` array<float>, `depth.other` array<int>, `camera_frame.top` bigint")
+    tasks = spark.createDataFrame([(0, "fold")], "task_index bigint, task string")
+    deep = schema.RobotSchema(**{**small.__dict__, "depth_camera_keys": ("head",)})
+    root.write_root(frames, tasks, deep, target, {"image_size": [4, 4]}, depth_shapes={"head": (2, 3, 1)})
+    r = train.training_rows(spark, deep, train.TrainRequest(target, 2)).where("frame_index = 1").first()
+    assert r["observation.images.depth_head"] == [[[1.0], [2.0], [3.0]], [[4.0], [5.0], [6.0]]]
+    assert (r["depth.other"], r["camera_frame.top"], r.action) == ([1, 9], 3, [[1.0, 0.0], [2.0, 0.0]])
+    with pytest.raises(ValueError, match="no depth"):
+        root.read_training_rows(spark, target, 2, ["other"])

@@ -34,7 +34,7 @@ class TrainRequest:
 def training_rows(spark: SparkSession, schema: RobotSchema, request: TrainRequest, side: str = "train") -> DataFrame:
     """Rows of one side of the split, with selected and, if asked for, relative actions."""
     chosen = schema.select_action_space(request.action_space)
-    rows = read_training_rows(spark, request.root, request.chunk_size)
+    rows = read_training_rows(spark, request.root, request.chunk_size, schema.depth_camera_keys)
     if request.val_fraction or request.test_fraction:
         rows = split.only_split(rows, "episode_index", side, request.val_fraction, request.test_fraction, request.seed)
     rows = actions.select_actions(rows, "action", schema.action_positions(chosen), schema.action_dim)

@@ -18,7 +18,7 @@ import itertools
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -27,6 +27,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators import images
 from tickloom.operators.chunk import action_chunks
 from tickloom.operators.planner import global_index, missing_tasks, with_offsets
 from tickloom.schema import RobotSchema
@@ -134,12 +135,13 @@ def is_prepared(root: str, params: dict) -> bool:
     return dataset_exists(root) and read_params(root) == params
 
 
-def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: str, params: dict, manifest: DataFrame | None = None, cameras: DataFrame | None = None) -> dict:
+def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: str, params: dict, manifest: DataFrame | None = None, cameras: DataFrame | None = None, depth_shapes: dict[str, tuple[int, int, int]] | None = None) -> dict:
     """Write frames (episode_index, frame_index, task_index, observation.state, action) as a dataset and return its info.
 
     timestamp is frame_index / fps, vectors become 32-bit, index runs over all
     episodes. Every task_index in use must be in tasks (task_index, task).
     cameras: rows of CAMERA_ROWS, which camera_frame.<key> of frames count.
+    depth_shapes: height, width, channels of the flat columns depth.<key>.
     """
     spark = frames.sparkSession
     if lacking := [r.task_index for r in missing_tasks(frames, tasks).limit(5).collect()]:
@@ -203,6 +205,9 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
             **{c: {"dtype": "int64", "shape": [1]} for c in frames.columns if c.startswith(CAMERA_FRAME)},
         },
     }
+    kinds = dict(frames.dtypes)
+    for k, shape in (depth_shapes or {}).items():
+        info["features"][f"depth.{k}"] = {"dtype": kinds[f"depth.{k}"].removeprefix("array<").removesuffix(">"), "shape": list(shape)}
     _put(root, "meta/stats.json", {})
     _put(root, PARAMS, params)
     _put(root, INFO, info)  # last: it makes the dataset exist
@@ -260,7 +265,24 @@ def read_frames(spark: SparkSession, root: str) -> DataFrame:
     return frames.join(tasks, "task_index", "left")
 
 
-def read_training_rows(spark: SparkSession, root: str, chunk_size: int) -> DataFrame:
-    """task, observation.state, action (chunk) and action_is_pad per frame."""
-    rows = action_chunks(read_frames(spark, root), ["episode_index"], "frame_index", "action", chunk_size)
-    return rows.select("episode_index", "frame_index", "index", "task", "`observation.state`", F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad"))
+def read_training_rows(spark: SparkSession, root: str, chunk_size: int, depth_keys: Sequence[str] = ()) -> DataFrame:
+    """task, observation.state, action (chunk) and action_is_pad per frame, and what the dataset has of cameras.
+
+    Image columns come as observation.images.<key>, the depth of depth_keys as
+    observation.images.depth_<key> in rows of pixels of channels. Other depth
+    columns and the numbers of camera frames stay as they are.
+    """
+    prefix = "observation.images."
+    features = read_info(root)["features"]
+    frames = read_frames(spark, root)
+    for k in depth_keys:
+        if f"depth.{k}" not in frames.columns or f"depth.{k}" not in features:
+            raise ValueError(f"{root} has no depth of {k!r} with a shape")
+    shown = {k.removeprefix(prefix) for k, f in features.items() if f["dtype"] in ("video", "image")}
+    frames = images.prefixed(frames, [k for k in frames.columns if k in shown], list(depth_keys))
+    for k in depth_keys:
+        name = f"{prefix}depth_{k}"
+        frames = frames.withColumn(name, images.reshape(F.col(f"`{name}`"), *features[f"depth.{k}"]["shape"]))
+    kept = [f"`{c}`" for c in frames.columns if c.startswith((prefix, "depth.", CAMERA_FRAME))]
+    rows = action_chunks(frames, ["episode_index"], "frame_index", "action", chunk_size)
+    return rows.select("episode_index", "frame_index", "index", "task", "`observation.state`", F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad"), *kept)
