@@ -78,6 +78,13 @@ def frame_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.select("episode_index", "frame_index", F.posexplode("chunk").alias("step", "value"))
 
 
+def frame_chunks_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of whole action vectors over the frames table, three ticks ahead, of train episodes. Of repeated rows the greatest vector holds."""
+    frames = table(spark, sf_dir, "frames").select("episode_index", "frame_index", "action").groupBy("episode_index", "frame_index").agg(F.max("action").alias("action"))
+    chunks = chunk.action_chunks(split.only_split(frames, "episode_index", "train", 0.1, 0.1), ["episode_index"], "frame_index", "action", 3)
+    return chunks.select("episode_index", "frame_index", "chunk", "is_pad")
+
+
 def episode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     key = F.col("user_id")
@@ -137,7 +144,7 @@ def even_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tick_grid, floor_align, floor_align_multi, missing_topics, top_topic_lock, frame_rows, action_chunk, pad_fraction, frame_chunks, episode_split,
+        tick_grid, floor_align, floor_align_multi, missing_topics, top_topic_lock, frame_rows, action_chunk, pad_fraction, frame_chunks, frame_chunks_whole, episode_split,
         split_counts, split_filter, valid_action_stats, completeness, agreeing_lengths, fifo_pair, clip_sample, even_frames,
     )
 }
@@ -186,6 +193,12 @@ SQL = {
         SELECT t.episode_index, t.frame_index, k.step, b.a AS value
         FROM t CROSS JOIN (SELECT unnest(range(0, 3))::INT AS step) k
         JOIN f b ON b.episode_index = t.episode_index AND b.frame_index = least(t.frame_index + k.step, t.last)""",
+    "frame_chunks_whole": f"""WITH f AS (SELECT episode_index, frame_index, max(action) AS a FROM frames GROUP BY 1, 2),
+        t AS (SELECT *, max(frame_index) OVER (PARTITION BY episode_index) AS last FROM f
+              WHERE {_LABEL.format(f="(" + _FRAC.format(k="episode_index") + ")")} = 'train')
+        SELECT t.episode_index, t.frame_index, list(b.a ORDER BY k.step) AS chunk, list(t.frame_index + k.step > t.last ORDER BY k.step) AS is_pad
+        FROM t CROSS JOIN (SELECT unnest(range(0, 3))::INT AS step) k
+        JOIN f b ON b.episode_index = t.episode_index AND b.frame_index = least(t.frame_index + k.step, t.last) GROUP BY 1, 2""",
     "episode_split": f"""WITH u AS (SELECT DISTINCT user_id, {_FRAC.format(k="user_id")} AS fraction FROM events)
         SELECT user_id, fraction, {_LABEL.format(f="fraction")} AS split FROM u""",
     "split_counts": f"""WITH u AS (SELECT DISTINCT episode_index, {_FRAC.format(k="episode_index")} AS fraction FROM manifest WHERE episode_index IS NOT NULL)
