@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 
 
+def test_every_list_element_is_a_metric(spark, sf_dir):
+    lists = spark.read.parquet(f"{sf_dir}/embeddings.parquet").agg(F.sum(F.size("embedding"))).first()[0]
+    assert entry.queries()["indexed_metrics_whole"](spark, sf_dir).count() == lists
+
+
 def test_chunks_hold_whole_actions(spark, sf_dir):
     widths = spark.read.parquet(f"{sf_dir}/frames.parquet").where("action is not null").groupBy("episode_index").agg(F.max(F.size("action")).alias("wanted"))
     rows = entry.queries()["frame_chunks_whole"](spark, sf_dir)

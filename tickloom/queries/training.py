@@ -84,6 +84,12 @@ def indexed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.indexed_metrics(lists, ["vec_id"], "name", "values")
 
 
+def indexed_metrics_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every element of every list."""
+    lists = table(spark, sf_dir, "embeddings").select("vec_id", F.lit("loss_per_dim").alias("name"), F.col("embedding").cast("array<double>").alias("values"))
+    return metrics.indexed_metrics(lists, ["vec_id"], "name", "values")
+
+
 def perf_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per worker: share of waiting (view) in waiting, preparing (click) and computing (error), and samples a second."""
     total = lambda kind: F.coalesce(F.sum(F.when(F.col("name") == f"train/{kind}", F.col("loss"))), F.lit(0.0))
@@ -150,7 +156,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         window_loss, epoch_loss, running_best, patience, checkpoint_retention, retention_improving, best_val_loss, eval_gather, min_rank_batches, resume_epoch, cadence,
-        metric_filter, metric_prefix, indexed_metrics, perf_ratios, memory_estimate, vector_widths, uri_parse, safe_path, kv_parse, codec_map, file_names, history_tail,
+        metric_filter, metric_prefix, indexed_metrics, indexed_metrics_whole, perf_ratios, memory_estimate, vector_widths, uri_parse, safe_path, kv_parse, codec_map, file_names, history_tail,
     )
 }
 
@@ -182,6 +188,8 @@ SQL = {
         WHERE (name GLOB 'train/*' OR name = 'loss') AND NOT (regexp_full_match(name, '.*/s.*') OR regexp_full_match(name, '.*/[^a-d]rr.r')) GROUP BY 1""",
     "metric_prefix": "SELECT event_id, 'val/' || event_type AS name FROM events",
     "indexed_metrics": "SELECT vec_id, 'loss_per_dim_' || k AS name, embedding[k + 1]::DOUBLE AS value FROM embeddings CROSS JOIN (SELECT unnest(range(0, 5)) AS k)",
+    "indexed_metrics_whole": """WITH k AS (SELECT unnest(range(0, (SELECT max(len(embedding)) FROM embeddings))) AS k)
+        SELECT vec_id, 'loss_per_dim_' || k AS name, embedding[k + 1]::DOUBLE AS value FROM embeddings JOIN k ON k.k < len(embedding)""",
     "perf_ratios": f"""WITH {_M}, o AS (SELECT worker, coalesce(sum(loss) FILTER (WHERE name = 'train/view'), 0) AS w, coalesce(sum(loss) FILTER (WHERE name = 'train/click'), 0) AS p,
           coalesce(sum(loss) FILTER (WHERE name = 'train/error'), 0) AS c, count(*) AS n FROM m GROUP BY 1)
         SELECT worker, round(CASE WHEN w + p + c > 0 THEN w / (w + p + c) ELSE 0 END, 6) AS io_bound_fraction,
