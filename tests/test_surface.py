@@ -101,3 +101,40 @@ def test_direct_rows(spark):
     rows = train.direct_rows(messages, spark.createDataFrame([("e", "fold")], "episode_id string, task string"), schema.build_schema(spec), 2)
     got = sorted((r.frame_index, r.task, r["observation.state"], r.action, r.action_is_pad) for r in rows.collect())
     assert got == [(0, "fold", [0.0], [[0.0], [1.0]], [False, False]), (1, "fold", [1.0], [[1.0], [2.0]], [False, False]), (2, "fold", [2.0], [[2.0], [2.0]], [False, True])]
+
+
+def test_camera_streams(spark, monkeypatch):
+    import sys
+    from types import SimpleNamespace
+
+    class Codec:
+        """One byte a frame; a frame comes out with the next packet, the last one twice."""
+
+        def __init__(self):
+            self.held = None
+
+        def parse(self, data):
+            return [data] if data else []
+
+        def decode(self, packet):
+            out = [] if self.held is None else [self.held] * (1 if packet else 2)
+            self.held = packet
+            return [SimpleNamespace(to_ndarray=lambda format, x=x: np.full((2, 2, 3), x[0], np.uint8)) for x in out]
+
+    made = []
+    fake = SimpleNamespace(CodecContext=SimpleNamespace(create=lambda name, mode: made.append((name, mode)) or Codec()))
+    with monkeypatch.context() as m:
+        m.setitem(sys.modules, "av", fake)
+        got = [(t, int(x[0, 0, 0])) for t, x in decode.stream_frames([(5, b"\x01", "H265"), (7, b"\x02", None), (9, b"\x03", "")], 9, 2, 2)]
+        assert got == [(5, 1), (7, 2), (9, 3), (9, 3)] and made == [("hevc", "r")]
+        assert list(decode.stream_frames([], 0, 2, 2)) == []
+        with pytest.raises(ValueError, match="vp9"):
+            list(decode.stream_frames([(0, b"x", "vp9")], 0, 2, 2))
+    frames = spark.createDataFrame([(e, c, k, k, "h264", b"x") for e in (0, 1) for c in ("top", "left") for k in range(3)], "episode_index bigint, camera string, frame bigint, log_time bigint, format string, data binary")
+    rows = decode.stream_rows(frames, ["episode_index", "camera"], 2, 2).collect()
+    assert sorted((r.episode_index, r.camera) for r in rows if r.error) == [(e, c) for e in (0, 1) for c in ("left", "top")]
+    try:
+        decode.library("av")
+    except decode.MissingDecoder:
+        with pytest.raises(decode.MissingDecoder):
+            decode.encode_video([np.zeros((2, 2, 3), np.uint8)], 10.0)

@@ -1,4 +1,4 @@
-"""Optional decoders: HDF5 components, videos and depth images. Each needs a library that may be absent.
+"""Optional decoders: HDF5 components, videos, camera streams and depth images, and an encoder. Each needs a library that may be absent.
 
 Rows that cannot be decoded come out with an error, so that the rest of a batch
 is kept.
@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import importlib
 import io
-from collections.abc import Iterator
+import itertools
+import tempfile
+from collections import deque
+from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import CODECS
 from tickloom.functions.udf import flat_map, tolerant
 
 
@@ -64,6 +70,90 @@ def video_rows(members: DataFrame, height: int, width: int) -> DataFrame:
     return flat_map(members.select("name", "content"), tolerant(rows), "name string, frame_index bigint, image binary, error string", batch_size=16)
 
 
+def stream_frames(messages: Iterable[tuple[int, bytes, str | None]], last_time: int, height: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Time and RGB frame of the messages (time, bytes, codec) of a raw H.264 or H.265 stream, which come in order of time.
+
+    The n-th decoded frame has the time of the n-th message; frames beyond the
+    messages that were read so far have last_time, that of the last message. The
+    first message's codec holds for all.
+    """
+    av = library("av")
+    decoder, times = None, deque()
+
+    def shown(packets: Iterable) -> Iterator[tuple[int, np.ndarray]]:
+        for packet in packets:
+            for frame in decoder.decode(packet):
+                image = frame.to_ndarray(format="rgb24")
+                if image.shape[:2] != (height, width):
+                    image = av.VideoFrame.from_ndarray(image, format="rgb24").reformat(width=width, height=height).to_ndarray()
+                yield times.popleft() if times else last_time, image
+
+    for time, data, name in messages:
+        if decoder is None:
+            if (name or "").lower() not in CODECS:
+                raise ValueError(f"unknown codec {name!r}")
+            decoder = av.CodecContext.create(CODECS[name.lower()], "r")
+        times.append(time)
+        yield from shown(decoder.parse(data))
+    if decoder is not None:
+        yield from shown(decoder.parse(b""))  # what the parser holds back
+        yield from shown([None])  # what the decoder holds back
+
+
+def stream_rows(frames: DataFrame, keys: list[str], height: int, width: int) -> DataFrame:
+    """keys, frame_index, log_time, image (height x width x 3 bytes), error of the streams of encoded frames (keys, frame, log_time, format, data).
+
+    A stream that breaks off gives what was decoded, then a row with an error. Streams are decoded in passing; none is held as a whole.
+    """
+    kinds = {k: frames.schema[k].dataType.simpleString() for k in keys}
+    names = [*keys, "frame_index", "log_time", "image", "error"]
+    usable = frames.where(F.col("data").isNotNull() & F.col("log_time").isNotNull()).select(*keys, "frame", "log_time", "format", "data")
+    ends = usable.groupBy(*keys).agg(F.max("log_time").alias("_last"))
+    ordered = usable.join(ends, keys).repartition(*keys).sortWithinPartitions(*keys, "log_time", "frame")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        single = (r for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist())
+        for key, parts in itertools.groupby(single, lambda r: tuple(r[k] for k in keys)):
+            first = next(parts)
+            stream = ((r["log_time"], r["data"], r["format"]) for r in itertools.chain([first], parts))
+            try:
+                for i, (time, image) in enumerate(stream_frames(stream, first["_last"], height, width)):
+                    yield (*key, i, time, image.tobytes(), None)
+            except Exception as e:  # noqa: BLE001
+                yield (*key, None, None, None, f"{type(e).__name__}: {e}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, types = None, {}
+        for some in itertools.batched(rows(_seen(batches, types)), 16):
+            kind = kind or pa.schema([*((k, types[k]) for k in keys), ("frame_index", pa.int64()), ("log_time", pa.int64()), ("image", pa.binary()), ("error", pa.string())])
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in some], schema=kind)
+
+    return ordered.mapInArrow(run, ", ".join([*(f"`{k}` {t}" for k, t in kinds.items()), "frame_index bigint, log_time bigint, image binary, error string"]))
+
+
+def _seen(batches: Iterator[pa.RecordBatch], types: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """The batches; their column types are noted in passing."""
+    for batch in batches:
+        types.update({f.name: f.type for f in batch.schema})
+        yield batch
+
+
+def encode_video(frames: Iterable[np.ndarray], fps: float) -> bytes:
+    """RGB frames as an mp4. Its header is patched at the end, so it is made in a local file."""
+    av = library("av")
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "video.mp4"
+        with av.open(str(path), mode="w") as box:
+            stream = box.add_stream("libx264", rate=round(fps))
+            stream.pix_fmt = "yuv420p"
+            for i, image in enumerate(frames):
+                if not i:
+                    stream.height, stream.width = image.shape[:2]
+                box.mux(stream.encode(av.VideoFrame.from_ndarray(np.ascontiguousarray(image), format="rgb24")))
+            box.mux(stream.encode())  # what the encoder holds back
+        return path.read_bytes()
+
+
 def nearest_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Rows and columns picked, never mixed: depths stay depths."""
     y = np.minimum((np.arange(height) + 0.5) * image.shape[0] // height, image.shape[0] - 1).astype(int)
