@@ -51,8 +51,8 @@ def test_equal_windows_have_equal_hashes(text, size):
 
 
 @pytest.mark.parametrize("n", [10, 21])
-@pytest.mark.parametrize("bits", [1 << 27, 256])
-def test_against_brute_force(spark, n, bits):
+@pytest.mark.parametrize("together", [spans.TOGETHER, 1])
+def test_against_brute_force(spark, n, together):
     rng = random.Random(n)
     letters = "abcdefgh 測試😀é"
     passages = ["".join(rng.choices(letters, k=rng.randrange(n // 2, 4 * n))) for _ in range(8)]
@@ -66,8 +66,33 @@ def test_against_brute_force(spark, n, bits):
             t = t[:at] + rng.choice([p, p[cut:], p[:cut], p + p]) + t[at:]
         docs.append((d, t))
     docs += [(100, docs[3][1]), (101, docs[3][1]), (5, docs[5][1]), (102, None), (103, ""), (None, docs[7][1]), (104, "z" * 50), (105, "q" * 50), (106, "q" * 40)]
-    # a filter of 256 bits lets nearly all windows pass, in many passes: slower, but the same
-    assert run(spark, docs, n, filter_bits=bits) == brute(docs, n)
+    docs += [(110, docs[4][1] + "!" + docs[6][1]), (110, docs[8][1] * 2), (111, docs[8][1] + docs[9][1])]  # two texts under one id
+    # together = 1: every seed counts as one that very many texts have
+    assert run(spark, docs, n, together=together) == brute(docs, n)
+
+
+def test_texts_of_one_id_share_nothing_with_each_other(spark):
+    a, b = "the quick brown fox jumps over", "over the lazy dog and away it goes"
+    docs = [(1, a + b), (1, b + a), (2, "not the same at all, in no way whatsoever")]
+    for together in (spans.TOGETHER, 1):
+        assert run(spark, docs, 20, together=together) == {}
+        assert run(spark, [*docs, (3, a + b)], 20, together=together) == {1: 64, 3: 64}
+        assert run(spark, [*docs, (0, "xx" + b)], 20, together=together) == {0: 34, 1: 34}
+
+
+@pytest.mark.parametrize("letter", ["a", "ab", "abc "])
+def test_texts_that_repeat_themselves(spark, letter):
+    docs = [(1, letter * 700), (2, "x" * 40 + letter * 90), (3, letter * 30 + "y"), (4, "y" * 300)]
+    for together in (spans.TOGETHER, 1):
+        assert run(spark, docs, 50, together=together) == brute(docs, 50)
+    _, _, places = zip(*spans.seeds_of([letter * 3000], 100), strict=True)
+    assert sum(map(len, places)) < 3000 * len(letter) / 12  # equal windows are not all seeds
+
+
+def test_ids_of_another_kind(spark):
+    t = "a passage that is long enough to be looked at by this test"
+    df = spark.createDataFrame([("b", "x " + t), ("a", t + " y"), ("c", "nothing of the kind"), (None, t)], "doc_id string, text string")
+    assert {r.doc_id: r.shared_chars for r in spans.shared_spans(df, 30).collect()} == {"a": len(t), "b": len(t)}
 
 
 def test_inside_one_text_only_is_not_shared(spark):
@@ -86,13 +111,19 @@ def test_a_third_of_all_texts_share_one_passage(spark):
 
 @pytest.mark.parametrize("stretch", [1, 64, 1000])
 def test_stretches_of_a_long_text(spark, stretch, monkeypatch):
+    rng = random.Random(stretch)
+    text = "".join(rng.choices("ab c", k=997))
+    whole = {n: sorted((h, p) for hashes, _, place in spans.seeds_of([text], n) for h, p in zip(hashes.tolist(), place.tolist(), strict=True)) for n in (8, 13)}
     monkeypatch.setattr(spans, "STRETCH", stretch)
-    points = np.arange(997, dtype=np.uint32)
-    for size in (7, 10):
-        parts = [(at, p) for at, p in spans.stretches_of(points, size)]
-        windows = [at + i for at, p in parts for i in range(len(p) - size + 1)]
-        assert windows == list(range(len(points) - size + 1)) and all(at % size == 0 for at, _ in parts)
-    assert [len(p) for _, p in spans.stretches_of(points[:3], 7)] == [3]
+    for span in (7, 10):
+        parts = list(spans.stretches_of(997, span))
+        starts = [i for begin, end in parts for i in range(begin, end - span + 1)]
+        assert starts == list(range(997 - span + 1)) and all(begin % span == 0 for begin, _ in parts)
+    assert list(spans.stretches_of(3, 7)) == [(0, 3)]
+    for n, seeds in whole.items():
+        assert seeds == sorted({(h, p) for hashes, _, place in spans.seeds_of([text], n) for h, p in zip(hashes.tolist(), place.tolist(), strict=True)})
+        places = np.array([p for _, p in seeds])
+        assert all(((places >= q) & (places <= q + n - n // 2)).any() for q in range(997 - n + 1))  # one in every span
 
 
 def test_a_very_long_text(spark):
