@@ -51,16 +51,25 @@ def test_word_ids_part_by_part(monkeypatch):
     for part in (1, 7, 64, 10_000):
         monkeypatch.setattr(leaks, "PART", part)
         assert leaks.word_ids(text, known) == want
-    assert leaks.word_ids("", known) == [] and leaks.word_ids("new", known) == [0]
+    assert leaks.word_ids("", known) == []
 
 
-def brute(docs, items, passage, budget):
+def test_numbers_of_words(monkeypatch):
+    monkeypatch.setattr(leaks, "REMEMBERED", 3)
+    known = leaks._Numbers()
+    ids = [leaks.word_ids("one two three four five \ud800", known) for _ in range(3)]
+    assert ids[0] == ids[1] == ids[2] and len(set(ids[0])) == 5 and 0 not in ids[0] and len(known) <= 3
+
+
+def brute(docs, items, passage, budget, short=False):
     out = {}
     for d, text in docs:
         w = leaks.words(text)
         for i, item in items:
             v = leaks.words(item)
             best = min((distance(v[o : o + passage], w) for o in range(len(v) - passage + 1)), default=99)
+            if short and 0 < len(v) < passage:
+                best = 0 if any(w[o : o + len(v)] == v for o in range(len(w))) else 99
             if d is not None and i is not None and best <= budget:
                 out[d, i] = min(best, out.get((d, i), 99))
     return out
@@ -88,12 +97,23 @@ def test_against_brute_force(spark, passage, budget):
     assert {(r.doc_id, r.item_id): r.distance for r in rows} == brute(docs, items, passage, budget)
 
 
-def test_blocks_of_items_and_a_shared_head(spark):
+def test_short_items_are_one_passage(spark):
+    items = [(1, "one two three"), (2, "two"), (3, "one two three four five six"), (4, ""), (5, "--"), (6, "nine one")]
+    docs = [(1, "zero one two three"), (2, "one two, THREE four five six seven"), (3, "one three two"), (4, "one"), (5, None), (6, "one two three five nine")]
+    tables = spark.createDataFrame([(*d, 1) for d in docs], DOCS), spark.createDataFrame([(*i, 1) for i in items], ITEMS)
+    for budget in (0, 1):
+        got = {(r.doc_id, r.item_id): r.distance for r in leaks.find_leaks(*tables, 5, budget, short=True).collect()}
+        assert got == brute(docs, items, 5, budget, True)
+        assert {(1, 1), (2, 2), (3, 2)} <= set(got)
+    assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(*tables, 5, 0).collect()} == {(2, 3)}
+
+
+def test_a_filter_that_is_too_small_and_a_shared_head(spark):
     head = "read the station note and then choose the best option of all these "
     items = spark.createDataFrame([(i, head + " ".join(f"i{i}x{j}" for j in range(20)), 0) for i in range(30)], ITEMS)
     docs = spark.createDataFrame([(d, head + " ".join(f"i{d}x{j}" for j in range(2, 12)), 0) for d in range(30)] + [(99, "read the station note and then choose the best option", 0)], DOCS)
     one = {tuple(r) for r in leaks.find_leaks(docs, items).collect()}
-    many = {tuple(r) for r in leaks.find_leaks(docs, items, block_items=7).collect()}
+    many = {tuple(r) for r in leaks.find_leaks(docs, items, filter_bits=16).collect()}
     assert one == many and {d for d, *_ in one} == set(range(30))
     assert leaks.find_leaks(docs, items.limit(0)).count() == leaks.find_leaks(docs.limit(0), items).count() == 0
     with pytest.raises(ValueError):
