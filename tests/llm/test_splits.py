@@ -89,6 +89,42 @@ def test_balance_is_near_equal():
     assert abs(two[0] - two[1]) == 2
 
 
+def test_balance_takes_the_heaviest_with_the_lightest():
+    """Against the method by the book, with all bins of every vector written out."""
+
+    def dense(weights, k):
+        vectors = [([w] + [0.0] * (k - 1), [[i]] + [[] for _ in range(k - 1)]) for i, w in enumerate(weights)]
+        while len(vectors) > 1:
+            vectors.sort(key=lambda v: min(v[0]) - max(v[0]))
+            (w1, m1), (w2, m2) = vectors[:2]
+            o1, o2 = sorted(range(k), key=lambda i: -w1[i]), sorted(range(k), key=lambda i: w2[i])
+            vectors[:2] = [([w1[i] + w2[j] for i, j in zip(o1, o2, strict=True)], [m1[i] + m2[j] for i, j in zip(o1, o2, strict=True)])]
+        return sorted(vectors[0][0])
+
+    rng = np.random.default_rng(5)
+    for n, k in ((1, 3), (2, 3), (9, 4), (60, 7), (30, 40)):
+        weights = rng.random(n).round(6) * 10
+        got = np.bincount(s.balance(weights, k), weights=weights, minlength=k)
+        assert sorted(got) == pytest.approx(dense(weights.tolist(), k))
+
+
+def test_parts_are_combined_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(s, "VECTORS_AT_ONCE", 3)
+    rng = random.Random(4)
+    groups = [(f"g{i}", float(rng.randrange(1, 60))) for i in range(600)]
+    df = spark.createDataFrame(groups, "`group` string, weight double")
+    got = s.split_groups(df, bins=20, parts=11).collect()
+    assert Counter(r.group for r in got) == Counter(g for g, _ in groups)
+    bins = defaultdict(set)
+    total = defaultdict(float)
+    for r in got:
+        bins[r.whole_bin].add(r.split)
+        total[r.split] += r.weight
+    assert len(bins) == 20 and all(len(x) == 1 for x in bins.values())
+    whole = sum(total.values())
+    assert {k: round(v / whole, 2) for k, v in total.items()} == {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
 def test_split_proportions_and_a_third_in_one_group(spark):
     rng = random.Random(2)
     groups = [("hot", 3000.0)] + [(f"g{i}", float(rng.randrange(1, 60))) for i in range(200)] + [("none", None), ("negative", -4.0)]

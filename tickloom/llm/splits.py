@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 from tickloom.runtime import lookup_join, shared_dir
 
-#: Bins per vector and parts that are balanced by themselves; their product bounds what one task combines.
+#: Bins per vector, groups that one task balances, and vectors that one task combines.
 BINS = 120
-PARTS = 64
+GROUPS_PER_PART = 20_000
+VECTORS_AT_ONCE = 64
 SPLITS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 _OTHER = re.compile(r"[\W_]+")
@@ -139,23 +140,35 @@ class _Bins:
         return len(self.left) - 1
 
     def combine(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """One vector of all: always the two of the greatest spread, the heaviest bin with the lightest."""
-        heap = [(float(w.min() - w.max()), i) for i, (w, _) in enumerate(vectors)]
+        """One vector of all: always the two of the greatest spread, the heaviest bin with the lightest.
+
+        A vector holds the weights and members of its filled bins, heaviest
+        first; the others are empty, so a single item takes a single place.
+        """
+        heap = [(self._spread(w), i) for i, (w, _) in enumerate(vectors)]
         heapq.heapify(heap)
         held = dict(enumerate(vectors))
         fresh = len(vectors)
         while len(heap) > 1:
             (w1, m1), (w2, m2) = held.pop(heapq.heappop(heap)[1]), held.pop(heapq.heappop(heap)[1])
-            o1, o2 = np.argsort(-w1, kind="stable"), np.argsort(w2, kind="stable")
-            weight = w1[o1] + w2[o2]
-            members = m1[o1].copy()
-            for i in np.flatnonzero(m2[o2] >= 0):
-                members[i] = self.both(int(members[i]), int(m2[o2][i]))
+            both = max(0, len(w1) + len(w2) - self.k)  # so many bins are filled in either
+            weight, members = np.concatenate([w1, w2[: len(w2) - both]]), np.concatenate([m1, m2[: len(w2) - both]])
+            # the lightest of one go with the heaviest of the other
+            at = np.arange(len(w1) - both, len(w1))
+            weight[at] += w2[len(w2) - both :][::-1]
+            for i, other in zip(at.tolist(), m2[len(w2) - both :][::-1].tolist(), strict=True):
+                members[i] = self.both(int(members[i]), other)
+            order = np.argsort(-weight, kind="stable")
+            weight, members = weight[order], members[order]
             held[fresh] = (weight, members)
-            heapq.heappush(heap, (float(weight.min() - weight.max()), fresh))
+            heapq.heappush(heap, (self._spread(weight), fresh))
             fresh += 1
         return held[heap[0][1]]
 
+    def _spread(self, weight: np.ndarray) -> float:
+        """Minus the difference between the heaviest and the lightest bin."""
+        return float((weight[-1] if len(weight) == self.k else 0.0) - weight[0])
+
     def items(self, node: int) -> Iterator[int]:
         stack = [node] if node >= 0 else []
         while stack:
@@ -169,11 +182,7 @@ class _Bins:
 def balance(weights: np.ndarray, k: int) -> np.ndarray:
     """The bin, of k, of each item; bins as equal as the largest-differencing method makes them."""
     bins = _Bins(k)
-    vectors = []
-    for w in weights:
-        weight, members = np.zeros(k), np.full(k, -1, np.int64)
-        weight[0], members[0] = w, bins.leaf()
-        vectors.append((weight, members))
+    vectors = [(np.array([w], np.float64), np.array([bins.leaf()])) for w in weights.tolist()]
     out = np.zeros(len(weights), np.int64)
     if vectors:
         _, members = bins.combine(vectors)
@@ -196,42 +205,57 @@ def allocate(weights: np.ndarray, splits: dict[str, float]) -> list[str]:
     return out
 
 
-def split_groups(groups: DataFrame, splits: dict[str, float] | None = None, bins: int = BINS, parts: int = PARTS) -> DataFrame:
+def split_groups(groups: DataFrame, splits: dict[str, float] | None = None, bins: int = BINS, parts: int | None = None) -> DataFrame:
     """group -> split, for a table of distinct (group, weight) rows, in the proportions of splits by weight.
 
     A group heavier than its share leaves the proportions as near as whole
-    groups allow. The groups of one of `parts` parts are balanced in one task;
-    more parts serve more groups. Null or negative weights count as 0.
+    groups allow. Groups are balanced in parts of about GROUPS_PER_PART, each in
+    one task, unless parts says how many; the parts' vectors are combined in
+    rounds of VECTORS_AT_ONCE. Null or negative weights count as 0.
     """
     splits = splits or SPLITS
     if not splits or min(splits.values()) <= 0:
         raise ValueError("every split needs a positive share")
     weighed = groups.select("group", F.greatest(F.lit(0.0), F.coalesce(F.col("weight").cast("double"), F.lit(0.0))).alias("weight"))
-    spread = weighed.withColumn("part", F.pmod(F.xxhash64("group"), F.lit(parts)))
+    left = parts or max(1, -(-weighed.count() // GROUPS_PER_PART))
+    spread = weighed.withColumn("part", F.pmod(F.xxhash64("group"), F.lit(left)))
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["weight", "group"], ascending=[False, True])
         return pdf.assign(bin=balance(pdf.weight.to_numpy(), bins))
 
     placed = spread.groupBy("part").applyInPandas(local, "group string, weight double, part bigint, bin bigint").checkpoint()
-    sums = placed.groupBy("part", "bin").agg(F.sum("weight").alias("weight"))  # at most bins * parts rows
+    # where: the bin of a larger part that each bin of the first parts is in by now
+    sums = placed.groupBy("part", "bin").agg(F.sum("weight").alias("weight"))
+    where = sums.select("part", "bin", F.col("part").alias("in_part"), F.col("bin").alias("in_bin"), "weight")
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
         trees = _Bins(bins)
         vectors, leaves = [], {}
-        for part, rows in sorted(pdf.groupby("part")):
-            weight, members = np.zeros(bins), np.full(bins, -1, np.int64)
-            for b, w in zip(rows["bin"], rows["weight"], strict=True):
-                weight[b], members[b] = w, trees.leaf()
-                leaves[members[b]] = (part, b)
-            vectors.append((weight, members))
-        weight, members = trees.combine(vectors)
-        names = allocate(weight, splits)
-        rows = [(*leaves[x], i, names[i]) for i, node in enumerate(members.tolist()) for x in trees.items(node)]
-        return pd.DataFrame(rows, columns=["part", "bin", "whole_bin", "split"])
-
-    plan = sums.groupBy(F.lit(0).alias("_")).applyInPandas(combine, "part bigint, bin bigint, whole_bin bigint, split string")
-    return placed.join(F.broadcast(plan), ["part", "bin"]).select("group", "weight", "whole_bin", "split")
+        for part, rows in sorted(pdf.groupby("in_part")):
+            rows = rows.sort_values(["weight", "in_bin"], ascending=[False, True])
+            members = np.array([trees.leaf() for _ in range(len(rows))])
+            leaves.update(zip(members.tolist(), ((part, b) for b in rows["in_bin"].tolist()), strict=True))
+            vectors.append((rows["weight"].to_numpy(np.float64), members))
+        _, members = trees.combine(vectors)
+        out = [(*leaves[x], int(pdf.to_part.iloc[0]), i) for i, node in enumerate(members.tolist()) for x in trees.items(node)]
+        return pd.DataFrame(out, columns=["in_part", "in_bin", "to_part", "to_bin"])
+
+    while True:
+        left = -(-left // VECTORS_AT_ONCE)
+        now = where.groupBy("in_part", "in_bin").agg(F.sum("weight").alias("weight")).withColumn("to_part", F.pmod("in_part", F.lit(left)))
+        moved = now.groupBy("to_part").applyInPandas(combine, "in_part bigint, in_bin bigint, to_part bigint, to_bin bigint")  # at most VECTORS_AT_ONCE * bins rows a group
+        where = where.join(moved, ["in_part", "in_bin"]).select("part", "bin", F.col("to_part").alias("in_part"), F.col("to_bin").alias("in_bin"), "weight").checkpoint()
+        if left == 1:
+            break
+
+    def give(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.assign(split=allocate(pdf.weight.to_numpy(), splits))
+
+    whole = where.groupBy("in_bin").agg(F.sum("weight").alias("weight")).orderBy("in_bin")  # at most `bins` rows
+    given = whole.groupBy(F.lit(0).alias("_")).applyInPandas(give, "in_bin bigint, weight double, split string").select("in_bin", "split")
+    plan = where.join(F.broadcast(given), "in_bin").select("part", "bin", F.col("in_bin").alias("whole_bin"), "split")
+    return lookup_join(placed, plan, ["part", "bin"], size_of=where).select("group", "weight", "whole_bin", "split")
 
 
 def split_episodes(manifest: DataFrame, tasks: DataFrame, splits: dict[str, float] | None = None) -> DataFrame:
