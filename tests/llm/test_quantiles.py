@@ -106,3 +106,34 @@ def test_frames_by_day_and_at_once(spark):
             x = x[np.isfinite(x)]
             assert r.n == len(x) and off_by(x, share, r.value) <= r.rank_error < 0.25 * r.n
     assert q.frame_percentiles(frames.limit(0), manifest).count() == 0
+
+
+def test_sketches_are_given_out_by_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(g, float(v)) for g in range(40) for v in rng.normal(size=60)], "g bigint, v double").repartition(1).sortWithinPartitions("v")
+    whole = {(r.g, r.q): r.value for r in q.quantiles(df, ["g"], "v", [0.25, 0.5], k=64, n_parts=1).collect()}
+    import pyarrow as pa
+
+    batch = pa.table({"g": [i % 40 for i in range(2400)], "v": rng.normal(size=2400)}).to_batches(max_chunksize=100)
+
+    def feed(b):
+        for g, v in zip(b["g"].to_pylist(), b["v"].to_pylist(), strict=True):
+            yield (g,), np.array([v])
+
+    monkeypatch.setattr(q, "HELD_BYTES", 20_000)
+    out = list(q.sketch_batches(batch, feed, ["g"], [pa.int64()], 16, 4, "f8"))
+    assert len(out) > 10 and sum(sum(b["n"].to_pylist()) for b in out) == 2400
+    assert all(b["readings"].nbytes < 40_000 for b in out)
+    assert len(whole) == 80
+
+
+def test_buffer_size():
+    assert q.buffer_size(0.005, 10**9) <= 1024 < q.buffer_size(0.001, 10**9)
+    rng = np.random.default_rng(1)
+    for error in (0.05, 0.01):
+        s = q.Sketch(q.buffer_size(error, 100_000))
+        s.add(rng.random(100_000))
+        assert 0 < s.err / s.n <= error
+    for bad in (0, 1, -0.1):
+        with pytest.raises(ValueError):
+            q.buffer_size(bad, 10)

@@ -27,12 +27,27 @@ from tickloom.operators.frames import frame_blocks, unpack
 
 K = 1024
 FAN_IN = 4
-#: Sketches held by a task before they are given out; partial sketches merge later anyway.
-HELD = 20_000
+#: Bytes of sketches that a task holds before they are given out; partial sketches merge later anyway.
+HELD_BYTES = 64 << 20
 #: Partial sketches of one group that a task of a merge round takes.
 MERGE_FAN_IN = 32
 
 
+def buffer_size(error: float, n: int, fan_in: int = FAN_IN) -> int:
+    """The least power of two k with which sketches of n readings stay within error, a share of n.
+
+    A collapse of level l moves ranks by (fan_in // 2) * fan_in**l and there are
+    n / (k * fan_in**(l + 1)) of them, so each of the levels adds
+    (fan_in // 2) / fan_in / k of n.
+    """
+    if not 0 < error < 1:
+        raise ValueError("error must lie between 0 and 1")
+    k = 16
+    while np.ceil(np.log(max(n, 2) / k) / np.log(fan_in)) * (fan_in // 2) / fan_in / k > error:
+        k *= 2
+    return k
+
+
 class Sketch:
     """Mergeable quantile sketch with a proven rank error."""
 
@@ -85,6 +100,11 @@ class Sketch:
         else:
             self._push(level, values)
 
+    @property
+    def bytes(self) -> int:
+        """What its numbers take, and about what it takes besides."""
+        return 8 * self.loose_n + sum(len(row) for row in self.levels.values()) * (8 * self.k + 200) + 1000
+
     def parts(self) -> Iterator[tuple[int, int, int, np.ndarray]]:
         """What take() wants, part by part. Counts and error stand with the first."""
         yield self.n, self.err, -1, np.concatenate(self.loose) if self.loose else np.empty(0)
@@ -126,15 +146,19 @@ def sketch_batches(batches: Iterator[pa.RecordBatch], feed: Callable, names: lis
     """Partial sketches of a partition. feed(batch) gives (key tuple, finite numbers) pairs."""
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     held: dict[tuple, Sketch] = {}
+    size = 0
     for batch in batches:
         for key, values in feed(batch):
             sketch = held.get(key)
             if sketch is None:
                 sketch = held[key] = Sketch(k, fan_in)
+                size += sketch.bytes
+            before = sketch.bytes
             sketch.add(values)
-        if len(held) > HELD:
-            yield from _given_out(held, names, types, part, dtype)
-            held = {}
+            size += sketch.bytes - before
+            if size > HELD_BYTES:
+                yield from _given_out(held, names, types, part, dtype)
+                held, size = {}, 0
     yield from _given_out(held, names, types, part, dtype)
 
 
@@ -280,7 +304,8 @@ def _n_parts(df: DataFrame) -> int:
 def frame_percentiles(frames: DataFrame, manifest: DataFrame, shares: list[float] | None = None, k: int = K, fan_in: int = FAN_IN) -> DataFrame:
     """Percentiles of the finite readings per dataset_source, feature and component.
 
-    Repeated frames count once; null vectors and NaN or infinite readings do
+    k is the length of the buffers; buffer_size() gives the one for a wanted
+    error, and rank_error in the result is what was reached. Repeated frames count once; null vectors and NaN or infinite readings do
     not count. Columns as of read_quantiles(). Empty frames give no rows.
     """
     parts = merge_sketches(frame_sketches(frames, manifest, False, k, fan_in), FRAME_KEYS, _n_parts(frames), k, fan_in, MERGE_FAN_IN, FRAME_TYPE)
@@ -306,6 +331,7 @@ def percentiles_of_days(days: DataFrame, shares: list[float] | None = None, k: i
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         held: dict[tuple, Sketch] = {}
+        size = 0
         for batch in batches:
             keys = zip(*(batch[c].to_pylist() for c in FRAME_KEYS), strict=True)
             numbers = zip(*(batch[c].to_pylist() for c in ("n", "err", "level")), strict=True)
@@ -313,7 +339,13 @@ def percentiles_of_days(days: DataFrame, shares: list[float] | None = None, k: i
                 sketch = held.get(key)
                 if sketch is None:
                     sketch = held[key] = Sketch(k, fan_in)
+                    size += sketch.bytes
+                before = sketch.bytes
                 sketch.take(n, err, level, np.frombuffer(readings.as_buffer(), FRAME_TYPE))
+                size += sketch.bytes - before
+                if size > HELD_BYTES:
+                    yield from _given_out(held, FRAME_KEYS, types, part, FRAME_TYPE)
+                    held, size = {}, 0
         yield from _given_out(held, FRAME_KEYS, types, part, FRAME_TYPE)
 
     parts = days.select(*FRAME_KEYS, "n", "err", "level", "readings")
