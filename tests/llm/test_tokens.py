@@ -16,13 +16,13 @@ pytestmark = pytest.mark.skipif(not os.path.exists(RANKS), reason="no rank files
 
 @pytest.fixture(scope="module")
 def enc():
-    return tokens.encoder(RANKS)
+    return tokens.encoder(tokens.rank_file_bytes(RANKS))
 
 
 @given(st.text(max_size=300))
 @settings(max_examples=200, deadline=None)
 def test_same_as_the_library_and_back(text):
-    enc = tokens.encoder(RANKS)
+    enc = tokens.encoder(tokens.rank_file_bytes(RANKS))
     ids = enc.encode(text)
     clean = text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
     assert ids == enc.encoding.encode_ordinary(clean)
@@ -32,7 +32,7 @@ def test_same_as_the_library_and_back(text):
 @given(st.text(alphabet="ab 1\n\t.'sé　\x1c\x85", min_size=1, max_size=120), st.integers(4, 20))
 @settings(max_examples=300, deadline=None)
 def test_segments_do_not_change_ids(text, size):
-    enc = tokens.encoder(RANKS)
+    enc = tokens.encoder(tokens.rank_file_bytes(RANKS))
     parts = list(tokens.safe_segments(text, size))
     assert "".join(parts) == text
     assert [i for p in parts for i in enc.encoding.encode_ordinary(p)] == enc.encoding.encode_ordinary(text)
@@ -41,7 +41,7 @@ def test_segments_do_not_change_ids(text, size):
 @given(st.binary(min_size=1, max_size=200))
 @settings(max_examples=200, deadline=None)
 def test_merge_piece_is_the_librarys(piece):
-    enc = tokens.encoder(RANKS)
+    enc = tokens.encoder(tokens.rank_file_bytes(RANKS))
     assert tokens.merge_piece(piece, enc.ranks) == enc.encoding._encode_single_piece(piece) or piece in enc.ranks
 
 
@@ -67,3 +67,12 @@ def test_table(spark):
     back = {(r.doc_id, bytes(r.content)) for r in tokens.token_bytes(got).collect()}
     assert back == {(1, b"Hello world"), (2, b""), (3, b""), (4, b"<|endoftext|>"), (None, b" ")}
     assert tokens.token_ids(df.limit(0)).count() == 0
+
+
+def test_rank_files_have_a_bound(tmp_path, monkeypatch):
+    path = tmp_path / "ranks"
+    path.write_bytes(b"YQ== 0\n")
+    assert tokens.rank_file_bytes(str(path)) == b"YQ== 0\n"
+    monkeypatch.setattr(tokens, "RANK_FILE_LIMIT", 3)
+    with pytest.raises(ValueError):
+        tokens.rank_file_bytes(str(path))

@@ -9,6 +9,7 @@ point.
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -31,15 +32,25 @@ LONG_PIECE = 1 << 12
 #: A place where a blank or newline follows a non-space; stricter than any reading of white space.
 SAFE_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
 
+#: Bytes of a rank file, at most.
+RANK_FILE_LIMIT = 32 << 20
+
 _encodings: dict = {}
 
 
+def rank_file_bytes(path: str) -> bytes:
+    """The rank file, read on the driver; executors get its bytes and need no copy of the file."""
+    if (size := os.path.getsize(path)) > RANK_FILE_LIMIT:
+        raise ValueError(f"{path} has {size} bytes; rank files of more than {RANK_FILE_LIMIT} are not sent to executors")
+    with open(path, "rb") as f:
+        return f.read()
+
+
 class Encoder:
-    """A rank file with tiktoken's merges, for texts of any length."""
+    """The content of a rank file with tiktoken's merges, for texts of any length."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
+    def __init__(self, content: bytes):
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.encoding = tiktoken.Encoding("local", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.pieces = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
@@ -153,20 +164,21 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a rank file, built once per process."""
-    if path not in _encodings:
-        _encodings[path] = Encoder(path)
-    return _encodings[path]
+def encoder(content: bytes) -> Encoder:
+    """The encoder of a rank file's content, built once per process."""
+    key = hashlib.sha256(content).digest()
+    if key not in _encodings:
+        _encodings[key] = Encoder(content)
+    return _encodings[key]
 
 
 def token_ids(docs: DataFrame, rank_file: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ids (array<int>) of each row; null and empty texts have the ids []. Rows are kept one by one, repeats too."""
-    path = rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    ranks = docs.sparkSession.sparkContext.broadcast(rank_file_bytes(rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_ids = encoder(path)
+        with_ids = encoder(ranks.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -181,10 +193,10 @@ def token_ids(docs: DataFrame, rank_file: str | None = None, doc_id: str = "doc_
 
 def token_bytes(ids: DataFrame, rank_file: str | None = None) -> DataFrame:
     """doc_id and the raw bytes that its ids stand for."""
-    path = rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    ranks = ids.sparkSession.sparkContext.broadcast(rank_file_bytes(rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_ids = encoder(path)
+        with_ids = encoder(ranks.value)
         for batch in batches:
             found = [with_ids.decode_bytes(x or []) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.binary())], names=["doc_id", "content"])
