@@ -43,6 +43,59 @@ def test_rolling_median_matches_numpy():
     assert np.allclose(got[20:24], np.median(x[20:24], axis=0))
 
 
+def test_windows_at_the_ends_are_carried_on():
+    x = np.stack([np.arange(40) * 0.5, np.arange(40) * -2.0], axis=1)
+    got = spikes.carried_median(x, np.array([0, 20, 29]), 4)
+    assert np.allclose(got, x)
+    assert np.allclose(spikes.carried_median(x[:1], np.array([0]), 4), x[:1])
+
+
+def test_the_median_decides_and_neighbours_settle_bursts():
+    rng = np.random.default_rng(3)
+    t = np.arange(60)
+    y = np.sin(t / 9) + rng.normal(0, 0.005, 60)
+    for at in ([30], [0], [59], [0, 1, 2], [20, 21, 22, 23], list(range(30, 38)), list(range(53, 60))):
+        z = y.copy()
+        z[at] += np.where(np.arange(len(at)) % 2, 1.5, 4.5)
+        assert np.flatnonzero(spikes.hampel_cases(z, t, 0.6, Rules())).tolist() == at
+    z = np.where(t < 30, 0.0, 3.0) + rng.normal(0, 0.005, 60)
+    assert not spikes.hampel_cases(z, t, 0.6, Rules()).any()  # a move to another place is none
+
+
+def test_the_limit_follows_from_the_tail():
+    rng = np.random.default_rng(4)
+    residual = rng.exponential(0.01, 200_000)
+    counts = np.bincount(spikes._bin(residual))
+    histogram = {"residual": {i: int(n) for i, n in enumerate(counts) if n}, "step": {i: int(n) for i, n in enumerate(counts) if n}, "positive": {5: 10}}
+    for odds in (1e-6, 1e-12):
+        got = spikes.normal_behaviour(histogram, Rules(spike_odds=odds))["hampel"]
+        assert got == pytest.approx(-0.01 * np.log(odds), rel=0.15)
+    assert spikes.normal_behaviour(histogram, Rules(hampel=1000.0))["hampel"] > 5
+
+
+def test_long_runs_are_seen_across_blocks(spark):
+    rules = Rules(rest_share=0.95)
+    assert rules.halo > 400 and Rules().halo == spikes.HALO
+    rng = np.random.default_rng(6)
+    moves = lambda: (np.cumsum(rng.random(900) > 0.9) * 0.01)[:, None]  # stands still in nine frames of ten
+    episodes = {e: moves() for e in range(8)}
+    episodes[2][200:700] = episodes[2][200]
+    frames, manifest = tables(spark, episodes)
+    whole = found(implausible_readings(frames, manifest, rules, block=4096))
+    first = min(t for e, t, *_ in whole)
+    assert first <= 201 and {(2, t, f, 0) for t in range(201, 700) for f in ("observation.state", "action")} <= whole and {e for e, *_ in whole} == {2}
+    assert found(implausible_readings(frames, manifest, rules, block=64)) == whole
+
+
+def test_known_bounds_hold(spark):
+    rng = np.random.default_rng(9)
+    episodes = {e: episode(rng) for e in range(6)}
+    frames, manifest = tables(spark, episodes)
+    bounds = {("src", "action", 2): (-0.5, 0.5), ("other", "action", 0): (0.0, 0.0)}
+    want = {(e, t, "action", 2) for e, x in episodes.items() for t in range(len(x)) if x[t, 2] == 1}
+    assert found(implausible_readings(frames, manifest, bounds=bounds)) == want
+
+
 def test_spike_burst_between_true_stretches():
     t = np.arange(30)
     y = t * 0.01

@@ -6,12 +6,15 @@ Two passes share one shuffle of the frames (see frames.frame_blocks):
    values, of the steps from frame to frame and of the distances from the
    rolling median. They give the source's normal behaviour: bounds, typical
    step, median absolute deviation (MAD) and share of unchanged readings.
-2. flag: the Hampel test |x - rolling median| > k * 1.4826 * MAD, the bounds
-   and the run lengths select the series that hold anything unusual; in those
-   each reading is then compared with the nearest true readings on both sides.
-
-What is compared with what is fixed by Rules; every threshold follows from the
-profile of the whole table.
+2. flag: a reading is a case if |x - rolling median| > k * 1.4826 * MAD of its
+   source (Hampel filter), if it is out of bounds or if it belongs to a run of
+   equal readings that is too long.
+
+k follows from the source, too: it is where so few of its normal readings would
+lie beyond as Rules.spike_odds says, see normal_behaviour(). Only where a window
+cannot tell which of its readings are true, because it lies to one side of a
+reading at the ends of an episode or because a burst fills half of it, the
+neighbouring true readings settle it, see spikes_in().
 """
 
 from __future__ import annotations
@@ -38,8 +41,8 @@ class Rules:
     """Parameters of the filter.
 
     half_window: frames on each side in the rolling median.
-    hampel: candidate threshold in units of 1.4826 * MAD.
-    jump: a reading off its neighbours by more than jump typical steps is a spike.
+    hampel: the least k, in units of 1.4826 * MAD.
+    spike_odds: k is so large that a normal reading lies beyond with less than these odds.
     anchor: so many readings in a row without a jump count as true motion.
     bound_spread: bounds lie so many interquantile ranges outside the 1 % and 99 % quantiles.
     stuck_odds: a run is stuck if it would arise by chance with less than these odds.
@@ -50,7 +53,7 @@ class Rules:
 
     half_window: int = 7
     hampel: float = 6.0
-    jump: float = 20.0
+    spike_odds: float = 1e-12
     anchor: int = 7
     bound_spread: float = 2.0
     rest_spread: float = 0.25
@@ -58,6 +61,15 @@ class Rules:
     stuck_least: int = 8
     rest_share: float = 0.5
 
+    def stuck_run(self, still: float) -> int:
+        """Repeats that a component which stands still for this share of frames makes with less than stuck_odds."""
+        return max(self.stuck_least, math.ceil(math.log(self.stuck_odds) / math.log(min(max(still, 1e-9), 0.999))))
+
+    @property
+    def halo(self) -> int:
+        """Frames beyond a block that its readings may depend on: the longest run that any component can need, as those that stand still for more rest."""
+        return max(HALO, self.stuck_run(self.rest_share) + 2 * self.half_window)
+
 
 def _bin(x: np.ndarray) -> np.ndarray:
     """Histogram bin of non-negative numbers, 0 for zero."""
@@ -95,6 +107,23 @@ def rolling_median(x: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
     return out
 
 
+def carried_median(x: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
+    """rolling_median(), carried on by the median step of the window to readings that are not in its middle."""
+    out = rolling_median(x, starts, half).astype(np.float64)
+    width = 2 * half + 1
+    ends = np.append(starts[1:], len(x))
+    whole = ends - starts >= width
+    for begins, side in ((starts[whole], -1), (ends[whole] - width, 1)):
+        if len(begins):
+            step = np.median(np.diff(x[begins[:, None] + np.arange(width)], axis=1), axis=1)
+            for far in range(1, half + 1):
+                out[begins + half + side * far] += side * far * step
+    for i in np.flatnonzero(~whole & (ends - starts > 1)):
+        part = x[starts[i] : ends[i]]
+        out[starts[i] : ends[i]] += (np.arange(len(part)) - (len(part) - 1) / 2)[:, None] * np.median(np.diff(part, axis=0), axis=0)
+    return out
+
+
 def _filled(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """x with each missing reading replaced by the one before it in its part, at the head by the next, else 0."""
     missing = ~np.isfinite(x)
@@ -137,7 +166,7 @@ def _profile(batches: Iterator[pa.RecordBatch], rules: Rules, block: int) -> Ite
             own = np.concatenate([(b[2] >= b[1]) & (b[2] < b[1] + block) for b in blocks])
             finite = np.isfinite(x)
             full = _filled(np.where(finite, x, np.nan).astype(np.float64), starts)
-            residual = np.abs(full - rolling_median(full, starts, rules.half_window))
+            residual = np.abs(full - carried_median(full, starts, rules.half_window))
             step = np.abs(np.diff(full, axis=0))
             next_to = np.ones(len(x), bool)
             next_to[starts] = False
@@ -167,7 +196,15 @@ def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> float:
 
 
 def normal_behaviour(histogram: dict[str, dict[int, int]], rules: Rules) -> dict[str, float]:
-    """What counts as normal for one component, from its histograms."""
+    """What counts as normal for one component, from its histograms.
+
+    hampel is k * 1.4826 * MAD. The distances from the rolling median fall off
+    at least exponentially; their 90 % and 99 % quantiles, which no spikes reach,
+    give the rate, and the limit is where the odds of a normal reading beyond it
+    fall to spike_odds. It is never under rules.hampel * 1.4826 * MAD. In steady
+    motion a reading is its own rolling median and the MAD is 0; then the typical
+    step is the scale.
+    """
     sides = [(-_middle(b), n) for b, n in sorted(histogram.get("negative", {}).items(), reverse=True)]
     sides += [(_middle(b), n) for b, n in sorted(histogram.get("positive", {}).items())]
     values, counts = np.array([v for v, _ in sides] or [0.0]), np.array([n for _, n in sides] or [0])
@@ -175,24 +212,28 @@ def normal_behaviour(histogram: dict[str, dict[int, int]], rules: Rules) -> dict
     steps = sorted(histogram.get("step", {}).items())
     step_bins, step_counts = np.array([b for b, _ in steps] or [0]), np.array([n for _, n in steps] or [0])
     still = float(histogram.get("step", {}).get(0, 0)) / max(1, int(step_counts.sum()))
-    # mean of the steps up to their 95 % quantile: as robust as the median, and finer where readings are whole numbers
-    usual = step_bins <= _quantile(step_bins, step_counts, 0.95)
+    # mean of the steps that are any, up to their 95 % quantile: as robust as the median, and finer where readings are whole numbers
+    moved = np.where(step_bins > 0, step_counts, 0)
+    usual = (step_bins > 0) & (step_bins <= _quantile(step_bins, moved, 0.95))
     sizes = np.array([_middle(b) for b in step_bins])
-    typical = float((sizes * step_counts)[usual].sum() / max(1, step_counts[usual].sum()))
+    typical = float((sizes * moved)[usual].sum() / max(1, moved[usual].sum()))
     residuals = sorted(histogram.get("residual", {}).items())
-    mad = _middle(_quantile(np.array([b for b, _ in residuals] or [0]), np.array([n for _, n in residuals] or [0]), 0.5))
-    # in steady motion a reading is its own rolling median and the MAD is 0; then the typical step is the scale
+    far, often = np.array([b for b, _ in residuals] or [0]), np.array([n for _, n in residuals] or [0])
+    mad, q90, q99 = (_middle(_quantile(far, often, q)) for q in (0.5, 0.9, 0.99))
+    tail = q99 + (q99 - q90) / math.log(0.1 / 0.01) * math.log(0.01 / rules.spike_odds)
     rests = still > rules.rest_share
     spread = (rules.rest_spread if rests else rules.bound_spread) * max(high - low, np.finfo(np.float32).tiny)
-    stuck = max(rules.stuck_least, math.ceil(math.log(rules.stuck_odds) / math.log(min(max(still, 1e-9), 0.999))))
-    return {"low": low - spread, "high": high + spread, "jump": rules.jump * typical, "hampel": rules.hampel * 1.4826 * max(mad, typical), "stuck": float(min(stuck, HALO)), "rests": float(rests)}
+    return {"low": low - spread, "high": high + spread, "hampel": max(tail, rules.hampel * 1.4826 * max(mad, typical)), "stuck": 0.0 if rests else float(rules.stuck_run(still)), "rests": float(rests)}
 
 
-THRESHOLDS = ("low", "high", "jump", "hampel", "stuck", "rests")
+THRESHOLDS = ("low", "high", "hampel", "stuck", "rests")
+#: Bounds that are known: (dataset_source, feature, component) -> (low, high).
+Bounds = dict[tuple[str, str, int], tuple[float, float]]
 
 
-def source_profiles(blocks: DataFrame, rules: Rules, block: int) -> DataFrame:
+def source_profiles(blocks: DataFrame, rules: Rules, block: int, bounds: Bounds | None = None) -> DataFrame:
     """One row per source: thresholds of all its components, packed. Few rows, whatever the size of the frames."""
+    known = bounds or {}
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _profile(batches, rules, block)
@@ -213,6 +254,7 @@ def source_profiles(blocks: DataFrame, rules: Rules, block: int) -> DataFrame:
             for k in range(int(of.component.max()) + 1 if len(of) else 0):
                 mine = of[of.component == k]
                 normal = normal_behaviour({kind: dict(zip(g["bin"], g["n"], strict=True)) for kind, g in mine.groupby("kind")}, rules)
+                normal["low"], normal["high"] = known.get((pdf.dataset_source.iloc[0], feature, k), (normal["low"], normal["high"]))
                 rows.append([normal[t] for t in THRESHOLDS])
             packed[feature] = np.array(rows, np.float64).tobytes()
         return pd.DataFrame({"profile_source": [pdf.dataset_source.iloc[0]], "state_profile": [packed[FEATURES[0]]], "action_profile": [packed[FEATURES[1]]]})
@@ -221,6 +263,24 @@ def source_profiles(blocks: DataFrame, rules: Rules, block: int) -> DataFrame:
     return histograms.groupBy("dataset_source").applyInPandas(thresholds, "profile_source string, state_profile binary, action_profile binary")
 
 
+def hampel_cases(y: np.ndarray, t: np.ndarray, limit: float, rules: Rules) -> np.ndarray:
+    """Which readings lie off the rolling median by more than limit.
+
+    A window that lies to one side of a reading, or of which a burst fills half,
+    may have the wrong median: there the neighbouring true readings settle it.
+    """
+    half, n = rules.half_window, len(y)
+    off = np.abs(y - carried_median(y[:, None], np.zeros(1, np.int64), half)[:, 0]) > limit
+    if not off.any():
+        return off
+    near = spikes_in(y, t, limit, rules.anchor)
+    around = lambda x: np.convolve(x, np.ones(2 * half + 1))[half : half + n]
+    at = np.arange(n)
+    edge = np.minimum(at, n - 1 - at) < half
+    crowded = around(off | near) >= half
+    return np.where(crowded, near & (around(off) > 0), off & (near | ~edge))
+
+
 def spikes_in(y: np.ndarray, t: np.ndarray, jump: float, anchor: int) -> np.ndarray:
     """Which readings lie off the neighbouring true readings by more than jump.
 
@@ -280,7 +340,8 @@ def implausible(x: np.ndarray, t: np.ndarray, limits: dict[str, float], rules: R
             stuck[a:b] = True
     flags[at[stuck]] = True
     at, y = at[~stuck], y[~stuck]
-    flags[at[spikes_in(y, t[at], limits["jump"], rules.anchor)]] = True
+    if len(at):
+        flags[at[hampel_cases(y, t[at], limits["hampel"], rules)]] = True
     return flags
 
 
@@ -303,12 +364,13 @@ def _flag(batches: Iterator[pa.RecordBatch], rules: Rules, block: int) -> Iterat
         episodes, frames, features, components = [], [], [], []
         for source, feature, blocks, starts, _, x in _stacks(batch):
             limits = profiles[source][feature][: x.shape[1]]
+            low, high, hampel, stuck, rests = limits.T
             full = _filled(x.astype(np.float64), starts)
-            off = np.abs(full - rolling_median(full, starts, rules.half_window))
-            unusual = off > np.minimum(limits[:, 3], limits[:, 2] / 2)
-            outside = ~np.isnan(x) & ~((x >= limits[:, 0]) & (x <= limits[:, 1]))
-            suspect = np.logical_or.reduceat(outside | (unusual & (limits[:, 5] == 0)), starts, axis=0)
-            suspect |= _longest_repeat(full, starts, limits[:, 4]) & (limits[:, 5] == 0)
+            # at half the limit, since what is missing, stuck or out of bounds is still in these windows; series without any are done
+            unusual = np.abs(full - carried_median(full, starts, rules.half_window)) > hampel / 2
+            outside = ~np.isnan(x) & ~((x >= low) & (x <= high))
+            suspect = np.logical_or.reduceat(outside | (unusual & (rests == 0)), starts, axis=0)
+            suspect |= _longest_repeat(full, starts, stuck) & (rests == 0)
             for i, k in zip(*np.nonzero(suspect), strict=True):
                 episode, lo, t, y = blocks[i]
                 cases = implausible(y[:, k], t, dict(zip(THRESHOLDS, limits[k], strict=True)), rules)
@@ -326,20 +388,21 @@ def _flag(batches: Iterator[pa.RecordBatch], rules: Rules, block: int) -> Iterat
             )
 
 
-def implausible_readings(frames: DataFrame, manifest: DataFrame, rules: Rules | None = None, block: int = 4096) -> DataFrame:
+def implausible_readings(frames: DataFrame, manifest: DataFrame, rules: Rules | None = None, block: int = 4096, bounds: Bounds | None = None) -> DataFrame:
     """Every component of every frame that holds a reading the robot cannot have produced.
 
     Columns: episode_index, frame_index, feature ('observation.state' or
-    'action'), component (zero-based). A case lies off the true readings around
-    it, or outside the bounds of its source, or repeats the reading before it
-    for far longer than the source otherwise does. Null vectors and NaN are
-    missing readings; components that rest (grippers) are tested for bounds
-    only. Infinite readings are outside the bounds. Repeated frames count once;
-    an empty table gives no rows.
+    'action'), component (zero-based). A case lies off the rolling median by more
+    than k MADs of its source, or outside the bounds of its source (those in
+    bounds, else from its quantiles), or repeats the reading before it for far
+    longer than the source otherwise does. Null vectors and NaN are missing
+    readings; components that rest (grippers) are tested for bounds only.
+    Infinite readings are outside the bounds. Repeated frames count once; an
+    empty table gives no rows.
     """
     rules = rules or Rules()
-    blocks = frame_blocks(frames, manifest, block, HALO)
-    profiles = source_profiles(blocks, rules, block)
+    blocks = frame_blocks(frames, manifest, block, rules.halo)
+    profiles = source_profiles(blocks, rules, block, bounds)
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _flag(batches, rules, block)
