@@ -89,3 +89,25 @@ def test_edges(spark):
     assert run(spark, [], []) == {}
     with pytest.raises(ValueError):
         run(spark, m, rec, "other")
+
+
+def test_wide_and_odd_vectors_end_nothing(spark):
+    """A vector longer than any component of the schemas is a reading, but has no part in the grid's numbers."""
+    schemas = spark.createDataFrame([("s", 30.0, [("t", 2)], [("u", 1)])], "dataset_source string, tick_fps double, state_components array<struct<name: string, dim: int>>, action_components array<struct<name: string, dim: int>>")
+    rec = spark.createDataFrame([("e", "s", "p", 0, STEP * 8)], REC)
+    good = [("e", "t", i * STEP, i, [float(i), -float(i)], "", 0) for i in (0, 2, 6)]
+    odd = [("e", "t", STEP * 4, 4, [9.0] * 9, "", 0), ("e", "t", STEP * 7, 7, [9.0] * 5000, "", 0), ("e", "only", 1, 0, [1.0] * 3, "", 0)]
+    wide = {(r.topic, r.tick): r for r in regular_grid(spark.createDataFrame(good + odd, MSG), rec, schemas).collect()}
+    plain = {(r.topic, r.tick): r for r in regular_grid(spark.createDataFrame(good, MSG), rec, schemas).collect()}
+    assert len(wide) == 16 and len(plain) == 8
+    for k in range(8):
+        a, b = wide["t", k], plain["t", k]
+        assert (a.value, a.increment, a.covered) == (b.value, b.increment, b.covered)
+        assert (a.n_readings, a.n_unusable) == (b.n_readings + (k in (4, 7)), int(k in (4, 7)))
+        assert wide["only", k].value == [] and wide["only", k].missing == (k > 0)
+
+
+def test_the_width_comes_from_the_data(spark):
+    m = [("e", "t", i * STEP, i, [float(i)] * 11, "", 0) for i in range(3)]
+    got = run(spark, m, [("e", "s", "p", 0, STEP * 3)])
+    assert [got["e", "t", k].value for k in range(3)] == [[float(k)] * 11 for k in range(3)]

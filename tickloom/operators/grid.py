@@ -69,36 +69,42 @@ def _vector(parts: str, width: int) -> Column:
 
 
 def distinct_readings(read: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """Readings once each, with `before`: log_time and value of the reading before it in its block.
+    """Readings once each, with `before`: log_time and value of the usable reading before it in its block.
 
+    A vector of more than width numbers is none that the source sends: it stays a
+    reading with dim 0 and an empty value, and no other looks back on it.
     Blocks of a series are placed first; removing repeats and looking back both
     work within them, so the readings are shuffled once.
     """
     placed = read.withColumn("tick", F.expr("(log_time - start_ns) div step")).withColumn("block", F.expr(f"tick div {BLOCK}")).withColumn("seq", F.coalesce("seq", F.lit(-1)))
-    too_wide = F.raise_error(F.concat(F.lit(f"a vector is wider than {width}: "), F.size("value").cast("string"))).cast("int")
+    fits = F.size("value") <= width
     once = (
         placed.repartition(*keys, "block")
         .groupBy(*keys, "block", "tick", "log_time", "seq", "start_ns", "end_ns", "step")
-        .agg(F.max(F.when(F.size("value") > width, too_wide).otherwise(F.size("value"))).alias("dim"), *(F.max(x).alias(f"value_{i}") for i, x in enumerate(_numbers("value", width))))
+        .agg(F.max(F.when(fits, F.size("value")).otherwise(0)).alias("dim"), *(F.max(F.when(fits, x)).alias(f"value_{i}") for i, x in enumerate(_numbers("value", width))))
         .withColumn("value", _vector("value", width))
         .drop(*(f"value_{i}" for i in range(width)))
     )
-    return once.withColumn("before", F.lag(F.struct("log_time", "value")).over(W.partitionBy(*keys, "block").orderBy("log_time", "seq")))
+    earlier = W.partitionBy(*keys, "block").orderBy("log_time", "seq").rowsBetween(W.unboundedPreceding, -1)
+    return once.withColumn("before", F.when(F.col("dim") > 0, F.last(F.when(F.col("dim") > 0, F.struct("log_time", "value")), ignorenulls=True).over(earlier)))
 
 
 def look_back(read: DataFrame, keys: list[str]) -> DataFrame:
-    """Fill `before` of each block's first reading from the last reading of the block before it that has any."""
-    last = read.groupBy(*keys, "block").agg(F.max_by(F.struct("log_time", "value"), F.struct("log_time", "seq")).alias("_last"))
-    handed = last.select(*keys, "block", F.lag("_last").over(W.partitionBy(*keys).orderBy("block")).alias("_handed"))
-    return read.join(handed, [*keys, "block"]).withColumn("before", F.coalesce("before", "_handed")).drop("_handed")
+    """Fill `before` of each block's first usable reading from the last one of the blocks before it."""
+    place = F.when(F.col("dim") > 0, F.struct("log_time", "seq"))
+    last = read.groupBy(*keys, "block").agg(F.max_by(F.struct("log_time", "value"), place).alias("_last"))
+    earlier = W.partitionBy(*keys).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    handed = last.select(*keys, "block", F.last("_last", ignorenulls=True).over(earlier).alias("_handed"))
+    return read.join(handed, [*keys, "block"]).withColumn("before", F.coalesce("before", F.when(F.col("dim") > 0, F.col("_handed")))).drop("_handed")
 
 
-def widest(schemas: DataFrame) -> int:
-    """The widest component of all schemas; a table of a few rows."""
-    if not {"state_components", "action_components"} <= set(schemas.columns):
-        return 8
-    dims = schemas.select(F.explode(F.concat("state_components", "action_components")).alias("c")).agg(F.max("c.dim")).first()[0]
-    return max(1, dims or 1)
+def widest(schemas: DataFrame, messages: DataFrame) -> int:
+    """The widest component of all schemas; where they declare none, the longest vector of the messages."""
+    if {"state_components", "action_components"} <= set(schemas.columns):
+        dims = schemas.select(F.explode(F.concat("state_components", "action_components")).alias("c")).agg(F.max("c.dim")).first()[0]
+        if dims:
+            return dims
+    return max(1, messages.agg(F.max(F.size("value"))).first()[0] or 1)
 
 
 def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame, kind: str = "level", width: int | None = None) -> DataFrame:
@@ -108,11 +114,13 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
     tick), value (interpolated at the beginning of the tick; before the first
     reading the first, after the last the last), increment (change during the
     tick, null where nothing covers it), covered (share of the tick between two
-    readings), resets (counters that began again).
+    readings), resets (counters that began again), n_unusable (readings in the
+    tick whose vector is longer than any the sources send).
 
     kind is 'level' or 'counter'. width is the number of vector components kept
-    apart, that of the widest schema component if not given; a longer vector is
-    an error. Topics without a reading in a recording have no grid. Repeated
+    apart, if not given that of the widest schema component or, without such, of
+    the longest vector there is. A longer vector is a reading, but its numbers
+    belong to no component: the grid goes on as if they were not there. Topics without a reading in a recording have no grid. Repeated
     messages count once; of messages with the same log_time and seq the greatest
     numbers hold. Null or empty value and null log_time are no readings; a
     component that is null in a reading takes no part in the increments on both
@@ -121,21 +129,20 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
     if kind not in ("level", "counter"):
         raise ValueError(f"kind must be 'level' or 'counter', not {kind!r}")
     keys = ["episode_id", "topic"]
-    width = width or widest(schemas)
     sent = messages.where(F.col("topic").isNotNull()).select(*keys, "log_time", "seq", F.col("value").cast("array<double>").alias("value"))
+    width = width or widest(schemas, sent)
     # three passes read it: kept in the shared folder, so that messages are shuffled once
     read = materialize(distinct_readings(readings(sent, recording_spans(recordings, schemas), size_of=recordings), keys, width), "readings")
 
     # the grid itself
+    usable = F.col("dim") > 0
+    place = F.when(usable, F.struct("log_time", "seq"))
     series = read.groupBy(*keys, "start_ns", "end_ns", "step").agg(
-        F.min_by("value", F.struct("log_time", "seq")).alias("first_value"),
-        F.max_by("value", F.struct("log_time", "seq")).alias("last_value"),
-        F.min("log_time").alias("first_time"),
-        F.max("dim").alias("dim"),
+        F.min_by("value", place).alias("first_value"), F.max_by("value", place).alias("last_value"), F.min(F.when(usable, F.col("log_time"))).alias("first_time"), F.max("dim").alias("dim")
     )
     nothing = F.lit(None).cast("array<double>")
     grid = _explode_ticks(series, F.lit(0).cast("bigint"), F.expr("(end_ns - start_ns - 1) div step")).select(
-        *keys, "tick", F.lit(0).alias("n"), F.lit(0).alias("reset"), F.lit(0.0).alias("share"), nothing.alias("part"), nothing.alias("at_start"), "dim",
+        *keys, "tick", F.lit(0).alias("n"), F.lit(0).alias("odd"), F.lit(0).alias("reset"), F.lit(0.0).alias("share"), nothing.alias("part"), nothing.alias("at_start"), "dim",
         F.when(F.expr("start_ns + tick * step <= first_time"), F.col("first_value")).otherwise(F.col("last_value")).alias("edge"),
     )
 
@@ -157,16 +164,16 @@ def regular_grid(messages: DataFrame, recordings: DataFrame, schemas: DataFrame,
     level = F.transform(F.arrays_zip("v0", "delta"), lambda z: z["v0"] + F.when(F.col("fell"), F.lit(0.0)).otherwise(z["delta"]) * F.col("so_far"))
     own = F.col("own") == F.col("tick")
     spread = cells.select(
-        *keys, "tick", own.cast("int").alias("n"), (F.col("fell") & own).cast("int").alias("reset"), (F.col("overlap") / F.col("step")).alias("share"),
+        *keys, "tick", own.cast("int").alias("n"), (own & ~usable).cast("int").alias("odd"), (F.col("fell") & own).cast("int").alias("reset"), (F.col("overlap") / F.col("step")).alias("share"),
         F.transform("delta", lambda d: d * F.col("ratio")).alias("part"), F.when((F.col("c0") >= F.col("t0")) & (F.col("c0") < F.col("t1")), level).alias("at_start"), "dim", nothing.alias("edge"),
     )
     summed = grid.unionByName(spread).groupBy(*keys, "tick").agg(
-        F.sum("n").alias("n_readings"), F.sum("reset").alias("resets"), F.sum("share").alias("covered"), F.max("dim").alias("dim"),
+        F.sum("n").alias("n_readings"), F.sum("odd").alias("n_unusable"), F.sum("reset").alias("resets"), F.sum("share").alias("covered"), F.max("dim").alias("dim"),
         *(F.sum(x).alias(f"{name}_{i}") for name in ("part", "at_start", "edge") for i, x in enumerate(_numbers(name, width))),
     )
     # at most one span begins before and ends after the start of a tick, so each of these sums has one term
     value = F.transform(F.arrays_zip(_vector("at_start", width).alias("s"), _vector("edge", width).alias("e")), lambda z: F.coalesce(z["s"], z["e"]))
     return summed.select(
         *keys, "tick", "n_readings", (F.col("n_readings") == 0).alias("missing"), value.alias("value"),
-        F.when(F.col("covered") > 0, _vector("part", width)).alias("increment"), F.least(F.lit(1.0), "covered").alias("covered"), "resets",
+        F.when(F.col("covered") > 0, _vector("part", width)).alias("increment"), F.least(F.lit(1.0), "covered").alias("covered"), "resets", "n_unusable",
     )
