@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickloom.operators import compaction as c
 
@@ -65,6 +67,63 @@ def test_compact_writes_each_record_once(spark, tmp_path):
     assert 2 <= parts.select("out_file").distinct().count() <= 12
 
 
+def test_files_on_disk_are_well_sized(spark, tmp_path):
+    rng = random.Random(3)
+    for n, low, high, target in ((2000, 200, 900, 20_000), (300, 10, 19_000, 20_000), (3, 10, 20, 20_000)):
+        bodies = ["x" * rng.randrange(low, high) + "\n" for _ in range(n)]
+        parts = c.consolidate(frame(spark, bodies), target)
+        path = tmp_path / f"{n}"
+        manifest = c.write_compacted(parts, str(path))
+        sizes = [f.stat().st_size for f in path.glob("out-*")]
+        total = sum(map(len, bodies))
+        assert sum(sizes) == total and len(sizes) == manifest.count() == len({r.out_file for r in manifest.collect()})
+        if total > target:
+            assert all(0.5 * target <= x <= 1.5 * target for x in sizes), sorted(sizes)
+        else:
+            assert len(sizes) == 1
+        assert c.verify_compacted(spark, parts, str(path)) == {"bytes": total, "records": n, "files": len(sizes)}
+        with pytest.raises(FileExistsError):
+            c.write_compacted(parts, str(path))
+
+
+@pytest.mark.parametrize("harm", ["flip", "cut", "gone"])
+def test_harm_on_disk_is_noticed(spark, tmp_path, harm):
+    parts = c.consolidate(frame(spark, ["x" * 500] * 40), 4000)
+    c.write_compacted(parts, str(tmp_path / "out"))
+    victim = sorted((tmp_path / "out").glob("out-*"))[1]
+    data = bytearray(victim.read_bytes())
+    if harm == "flip":
+        data[7] ^= 1
+    victim.write_bytes(data[:-1] if harm == "cut" else data)
+    if harm == "gone":
+        victim.unlink()
+    with pytest.raises(c.LengthMismatch, match=victim.name):
+        c.verify_compacted(spark, parts, str(tmp_path / "out"))
+
+
+def test_sizes_of_a_listing_make_the_plan(spark):
+    bodies = ["y" * 99 + "\n"] * 200
+    listed = frame(spark, bodies).selectExpr("file_id", "body", "if(file_id % 3 = 0, null, 100) AS size_bytes")
+    with_sizes = c.consolidate(listed, 1000, size="size_bytes").groupBy("out_file").sum("n_bytes").collect()
+    assert sorted(r[1] for r in with_sizes) == sorted(r[1] for r in c.consolidate(listed, 1000).groupBy("out_file").sum("n_bytes").collect())
+    assert c.consolidate(listed.withColumn("size_bytes", F.lit(None).cast("bigint")), 1000, size="size_bytes").count() > 10
+
+
+def test_frames_are_joined_as_they_are(spark, tmp_path):
+    z = zstandard.ZstdCompressor(write_checksum=True)
+    raw = [bytes([97 + i % 20]) * (50 + i) for i in range(120)]
+    packed = [bytearray(z.compress(x)) for x in raw]
+    rows = [(i, packed[i]) for i in range(120)] + [(200, packed[3][:-2]), (201, bytearray(b"plain")), (202, None), (203, bytearray())]
+    files = spark.createDataFrame(rows, "file_id bigint, body binary").repartition(3)
+    parts = c.consolidate(files, 600, frames=True)
+    c.write_compacted(parts, str(tmp_path / "z"), suffix=".zst")
+    names = sorted((tmp_path / "z").glob("*.zst"))
+    got = b"".join(zstandard.ZstdDecompressor().stream_reader(f.read_bytes(), read_across_frames=True).read() for f in names)
+    assert sorted(got) == sorted(b"".join(raw)) and len(names) > 3 and all(300 <= f.stat().st_size <= 900 for f in names)
+    assert c.verify_compacted(spark, parts, str(tmp_path / "z"))["files"] == len(names)
+    assert sorted(r.file_id for r in c.incomplete_frames(files).collect()) == ["200", "201"]
+
+
 def test_large_file_is_an_output_of_its_own(spark):
     parts = c.consolidate(frame(spark, [rec(1, 1) * 1, "y" * 5000, rec(2, 2)]), target_bytes=1000).collect()
     big = [r for r in parts if r.n_bytes > 5000]

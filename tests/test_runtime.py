@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom import runtime
@@ -11,10 +12,31 @@ def test_tables_in_the_shared_folder(spark):
     df = runtime.materialize(spark.range(10).withColumn("a.b", F.lit(1)), "x")
     assert df.count() == 10 and df.columns == ["id", "a.b"]
     assert runtime.materialize(spark.range(0), "empty").count() == 0
-    folder = runtime.shared_dir(spark).removeprefix("file:") + "/tables"
-    assert os.path.isdir(folder)
+    folder = runtime.tables_dir(spark).removeprefix("file:")
+    assert os.path.isdir(folder) and spark.sparkContext.applicationId in folder
+    one, other = runtime.materialize(spark.range(3), "one"), runtime.materialize(spark.range(4), "other")
+    foreign = folder.rsplit("/", 1)[0] + "/another-application/x"
+    os.makedirs(foreign)
+    runtime.drop(one)
+    assert other.count() == 4 and not any(x.startswith("one-") for x in os.listdir(folder))
     runtime.drop_materialized(spark)
-    assert not os.path.exists(folder)
+    assert not os.path.exists(folder) and os.path.exists(foreign)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        runtime.shared_dir(Session)
 
 
 def test_lookup_beyond_the_limit_is_shuffled(spark):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import align, chunk, split, stats
-from tickloom.operators.ordered import asof, int_bucket, numbered, running, text_bucket
+from tickloom.operators.ordered import asof, int_bucket, numbered, ranged, running, spread_bucket, text_bucket
 
 
 def rows(df):
@@ -148,3 +148,19 @@ def test_valid_actions_only(spark):
     df = spark.createDataFrame([([[1.0], [3.0], [3.0]], [False, False, True])], "chunk array<array<double>>, is_pad array<boolean>")
     r = stats.valid_action_stats(df).first()
     assert (r["mean"], r["std"], r["n"]) == (2.0, 1.0, 2)
+
+
+def test_buckets_of_any_density(spark):
+    """Sparse numbers do not make a bucket each, and texts with a common head do not meet in one."""
+    sparse = spark.range(0, 1000).select((F.col("id") * 1_000_003 - 5).alias("i"))
+    got = numbered(sparse, [], ["i"], spread_bucket(sparse, "i", 100)).collect()
+    assert sorted((r.i, r.position) for r in got) == [(k * 1_000_003 - 5, k) for k in range(1000)]
+    assert 8 <= sparse.select(spread_bucket(sparse, "i", 100)).distinct().count() <= 12
+    none = sparse.limit(0)
+    assert numbered(none, [], ["i"], spread_bucket(none, "i")).count() == 0
+    texts = spark.range(3000).select(F.format_string("pick up the thing %05d", F.pmod(F.col("id") * 37, F.lit(3000))).alias("t"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would put so few texts together
+    placed = ranged(texts, ["t"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert placed.select("_bucket").distinct().count() > 1 == texts.select(text_bucket(F.col("t"))).distinct().count()
+    assert all(r.t == f"pick up the thing {r.position:05d}" for r in numbered(placed, [], ["t"], F.col("_bucket")).collect())

@@ -1,9 +1,12 @@
 """Far too many small files: consolidation by byte-level concatenation.
 
 Bodies are joined as bytes, without parsing: a newline is put where a file ends
-without one, a byte order mark at a file's head is taken off, and the lengths
-and checksums of pieces and results are compared. Records are read once, after
-consolidation, to keep one of each; the kept lines are then concatenated again.
+without one, a byte order mark at a file's head is taken off; files of complete
+zstandard frames are joined as they are. Outputs have between half and one and a
+half times the wished size, one file each on disk, and lengths and checksums
+noted while writing are compared with the bytes read back. Records are read once,
+after consolidation, to keep one of each; the kept lines are then concatenated
+again.
 """
 
 from __future__ import annotations
@@ -13,40 +16,47 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.sources.files import move_in, place
+
 BOM = b"\xef\xbb\xbf"
 #: Bytes of an output file, and of one row that carries a part of it.
 TARGET_BYTES = 128 << 20
 CHUNK_BYTES = 4 << 20
+#: Outputs that one task fills one after the other, on average: so their sizes do not hang on chance.
+OUTPUTS_AT_ONCE = 8
 
 CHUNK_SCHEMA = "out_file bigint, part int, content binary, n_files bigint, n_bytes bigint, source_bytes bigint, checksum bigint"
+MANIFEST = "_manifest"
 
 
 class LengthMismatch(ValueError):
-    """A consolidated part does not have the bytes of its pieces."""
+    """What was consolidated or written does not have the bytes of its pieces."""
 
 
 def join_pieces(pieces: list[bytes]) -> tuple[bytes, int]:
     """Join newline-delimited bodies; the result ends with a newline. Also the bytes taken from the pieces.
 
-    Checks that nothing but added newlines and dropped marks differs, by length
-    and by CRC-32 over the pieces in turn.
+    Nothing but added newlines and dropped marks differs, which is checked by length.
     """
-    parts, checksum, expected, taken = [], 0, 0, 0
+    parts, taken, changed = [], 0, 0
     for piece in pieces:
         taken += len(piece)
-        body = piece[len(BOM) :] if piece.startswith(BOM) else piece
+        body = piece
+        if body.startswith(BOM):
+            body = body[len(BOM) :]
+            changed -= len(BOM)
         if not body:
             continue
-        for x in (body, b"" if body.endswith(b"\n") else b"\n"):
-            parts.append(x)
-            checksum = zlib.crc32(x, checksum)
-            expected += len(x)
+        parts.append(body)
+        if not body.endswith(b"\n"):
+            parts.append(b"\n")
+            changed += 1
     joined = b"".join(parts)
-    if len(joined) != expected or zlib.crc32(joined) != checksum:
-        raise LengthMismatch(f"{len(joined)} bytes joined, {expected} expected")
+    if len(joined) != taken + changed:
+        raise LengthMismatch(f"{len(joined)} bytes joined, {taken + changed} expected")
     return joined, taken
 
 
@@ -89,49 +99,140 @@ def join_zstd(pieces: list[bytes]) -> bytes:
     return b"".join(pieces)
 
 
-def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, key: str = "file_id", body: str = "body") -> DataFrame:
-    """Plan and join small files into about total / target_bytes output files.
+def _held(files: DataFrame, key: str, body: str) -> DataFrame:
+    return files.select(F.col(key).cast("string").alias("key"), F.col(body).cast("binary").alias("body")).where(F.octet_length("body") > 0)
 
-    Each row of the result is a part of one output file, parts in order. Files
-    go to outputs by the hash of key and body, so sizes even out without a global
-    order; a file of target_bytes or more is an output of its own. Null and
-    empty bodies hold nothing and are left out. Rows with a null key are files
-    like any other. An empty table gives no parts.
-    """
-    held = files.select(F.col(key).cast("string").alias("key"), F.col(body).cast("binary").alias("body")).where(F.octet_length("body") > 0)
-    total = held.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
-    outputs = max(1, -(-int(total) // target_bytes))
-    spread = F.xxhash64(F.coalesce("key", F.lit("")), "body")
-    planned = held.withColumn(
-        "out_file", F.when(F.octet_length("body") >= target_bytes, F.lit(outputs) + F.pmod(spread, F.lit(1 << 40))).otherwise(F.pmod(spread, F.lit(outputs)))
-    )
-    ordered = planned.repartition("out_file").sortWithinPartitions("out_file", "key", "body")
-    return ordered.mapInArrow(_join, CHUNK_SCHEMA)
+
+def _total_bytes(files: DataFrame, body: str, size: str | None) -> int:
+    """About the bytes of all files: by their listed sizes, where unknown the mean of the known, or else by reading them."""
+    if size is not None:
+        n, known, total = files.agg(F.count("*"), F.count(size), F.coalesce(F.sum(size), F.lit(0))).first()
+        if known:
+            return int(total) * n // known
+    return int(files.agg(F.coalesce(F.sum(F.octet_length(F.col(body).cast("binary"))), F.lit(0))).first()[0])
 
 
-def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, key: str = "file_id", body: str = "body", size: str | None = None, frames: bool = False) -> DataFrame:
+    """Join small files into about total / target_bytes output files of half to one and a half times target_bytes.
+
+    Each row of the result is a part of one output file; the parts of an output
+    follow one another in one partition. Files go to tasks by the hash of key and
+    body, which fill outputs one after the other; a file of half of target_bytes
+    or more is an output of its own. Only if the other files of a task together
+    have less than that is an output smaller. size names a column of file sizes,
+    from which the plan is made without reading bodies. Null and empty bodies
+    hold nothing and are left out. Rows with a null key are files like any
+    other. An empty table gives no parts.
+
+    frames: bodies are files of complete zstandard frames. Others cannot be
+    joined and are left out; see incomplete_frames().
+    """
+    held = _held(files, key, body)
+    if frames:
+        held = held.where(_complete("body"))
+    groups = max(1, round(_total_bytes(files, body, size) / (target_bytes * OUTPUTS_AT_ONCE)))
+    planned = held.withColumn("task", F.pmod(F.xxhash64(F.coalesce("key", F.lit("")), "body"), F.lit(groups)))
+    ordered = planned.repartition("task").sortWithinPartitions("task", "key", "body")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _join(batches, target_bytes, frames)
+
+    return ordered.mapInArrow(join, CHUNK_SCHEMA)
+
+
+def _complete(body: str) -> Column:
+    @F.pandas_udf("boolean")
+    def complete(bodies):
+        return bodies.map(lambda x: x is not None and zstd_frames_end(bytes(x)) == len(x))
+
+    return complete(F.col(body))
+
+
+def incomplete_frames(files: DataFrame, key: str = "file_id", body: str = "body") -> DataFrame:
+    """The keys of files that hold anything but complete zstandard frames."""
+    return _held(files, key, body).where(~_complete("body")).select(F.col("key").alias(key))
+
+
+class _Outputs:
+    """Fills the outputs of one task after another; what an output would get beyond its size is kept back until it is clear that it makes one itself."""
+
+    def __init__(self, target: int, frames: bool):
+        self.target, self.frames = target, frames
+        self.task, self.number = -1, 0
+        self.rows: list[dict] = []
+        self.begin(-1)
+
+    def begin(self, task: int) -> None:
+        self.task, self.number, self.next = task, 0, 1
+        self.part, self.size = 0, 0
+        self.pieces: list[bytes] = []
+        self.pieces_size = 0
+        self.kept: list[bytes] = []
+        self.kept_size = 0
+
+    def _name(self, number: int) -> int:
+        return (self.task << 24) + number
+
+    def _emit(self, number: int, part: int, pieces: list[bytes]) -> None:
+        content, taken = (b"".join(pieces), sum(map(len, pieces))) if self.frames else join_pieces(pieces)
+        if content:
+            self.rows.append({"out_file": self._name(number), "part": part, "content": content, "n_files": len(pieces), "n_bytes": len(content), "source_bytes": taken, "checksum": zlib.crc32(content)})
+
+    def _put(self, piece: bytes) -> None:
+        if self.pieces and self.pieces_size + len(piece) > CHUNK_BYTES:
+            self._close_part()
+        self.pieces.append(piece)
+        self.pieces_size += len(piece)
+        self.size += len(piece)
+
+    def _close_part(self) -> None:
+        if self.pieces:
+            self._emit(self.number, self.part, self.pieces)
+            self.part += 1
+            self.pieces, self.pieces_size = [], 0
+
+    def add(self, piece: bytes) -> None:
+        if len(piece) * 2 >= self.target:
+            self._emit(self.next, 0, [piece])
+            self.next += 1
+        elif self.size + len(piece) <= self.target:
+            self._put(piece)
+        else:
+            self.kept.append(piece)
+            self.kept_size += len(piece)
+            if self.kept_size * 2 >= self.target:
+                self._close_part()
+                kept = self.kept
+                self.number, self.next = self.next, self.next + 1
+                self.part, self.size, self.kept, self.kept_size = 0, 0, [], 0
+                for x in kept:
+                    self._put(x)
+
+    def end(self) -> None:
+        for x in self.kept:
+            self._put(x)
+        self._close_part()
+
+    def taken(self) -> Iterator[dict]:
+        rows, self.rows = self.rows, []
+        yield from rows
+
+
+def _join(batches: Iterator[pa.RecordBatch], target: int, frames: bool) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("out_file", pa.int64()), ("part", pa.int32()), ("content", pa.binary()), ("n_files", pa.int64()), ("n_bytes", pa.int64()), ("source_bytes", pa.int64()), ("checksum", pa.int64())]
     )
-    now, part, pieces, size = None, 0, [], 0
-
-    def close() -> pa.RecordBatch:
-        content, taken = join_pieces(pieces)
-        row = {"out_file": now, "part": part, "content": content, "n_files": len(pieces), "n_bytes": len(content), "source_bytes": taken, "checksum": zlib.crc32(content)}
-        return pa.RecordBatch.from_pylist([row], schema=schema)
-
+    outputs = _Outputs(target, frames)
     for batch in batches:
-        for out, body in zip(batch["out_file"].to_pylist(), batch["body"], strict=True):
-            data = body.as_buffer().to_pybytes()
-            if pieces and (out != now or size + len(data) > CHUNK_BYTES):
-                yield close()
-                part = part + 1 if out == now else 0
-                pieces, size = [], 0
-            now = out
-            pieces.append(data)
-            size += len(data)
-    if pieces:
-        yield close()
+        for task, body in zip(batch["task"].to_pylist(), batch["body"], strict=True):
+            if task != outputs.task:
+                outputs.end()
+                yield from (pa.RecordBatch.from_pylist([r], schema=schema) for r in outputs.taken())
+                outputs.begin(task)
+            outputs.add(body.as_buffer().to_pybytes())
+            yield from (pa.RecordBatch.from_pylist([r], schema=schema) for r in outputs.taken())
+    outputs.end()
+    yield from (pa.RecordBatch.from_pylist([r], schema=schema) for r in outputs.taken())
 
 
 def _whole(x: object) -> int | None:
@@ -171,37 +272,98 @@ def records(chunks: DataFrame) -> DataFrame:
     return chunks.mapInArrow(read, "episode_index bigint, length bigint, line binary, out_file bigint, part int, number int")
 
 
-def unique_records(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+def unique_records(files: DataFrame, target_bytes: int = TARGET_BYTES, size: str | None = None) -> DataFrame:
     """Every record of the files once: episode_index, length, line (the first in output order).
 
     A record is a line that is a complete JSON object with whole-number
     episode_index and length, blanks and a byte order mark aside; numbers are
     compared by value (40 and 40.0 are equal). Interrupted lines are none.
     """
-    found = records(consolidate(files, target_bytes))
+    found = records(consolidate(files, target_bytes, size=size))
     return found.groupBy("episode_index", "length").agg(F.min_by("line", F.struct("out_file", "part", "number")).alias("line"))
 
 
-def compact(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+def compact(files: DataFrame, target_bytes: int = TARGET_BYTES, size: str | None = None) -> DataFrame:
     """The well-sized files: parts as of consolidate(), holding every record exactly once."""
-    lines = unique_records(files, target_bytes).select(F.concat_ws("/", "episode_index", "length").alias("file_id"), F.col("line").alias("body"))
+    lines = unique_records(files, target_bytes, size).select(F.concat_ws("/", "episode_index", "length").alias("file_id"), F.col("line").alias("body"))
     return consolidate(lines, target_bytes)
 
 
-def write_compacted(chunks: DataFrame, path: str) -> None:
-    """Write the parts as text files, one task per output file, through Spark's committer.
+def write_compacted(chunks: DataFrame, path: str, suffix: str = ".jsonl") -> DataFrame:
+    """Write parts as of consolidate(), one file per output, and return the manifest: out_file, name, n_bytes, checksum.
 
-    A repeated or lost task leaves no second copy. Parts end with a newline,
-    which the writer sets itself.
+    Files get their names when complete, so a repeated or lost task leaves no
+    second copy; the manifest, below path too, is written last, by Spark's
+    committer. A path that has one already is refused.
     """
-    ordered = chunks.repartition("out_file").sortWithinPartitions("out_file", "part")
-    ordered.select(F.expr("cast(substring(content, 1, octet_length(content) - 1) as string)").alias("value")).write.text(path)
+    spark = chunks.sparkSession
+    fs, base, _ = place(path)
+    if fs.get_file_info(f"{base}/{MANIFEST}/_SUCCESS").type:
+        raise FileExistsError(f"{path} holds files already")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base, _ = place(path)
+        rows = ((out, content) for batch in batches for out, content in zip(batch["out_file"].to_pylist(), batch["content"], strict=True))
+        row = next(rows, None)
+        while row is not None:
+            now, name = row[0], f"out-{row[0]:012d}{suffix}"
+            size = checksum = 0
+
+            def fill(part: str, now: int = now) -> None:
+                nonlocal row, size, checksum
+                with fs.open_output_stream(part, compression=None) as f:
+                    while row is not None and row[0] == now:
+                        data = row[1].as_buffer().to_pybytes()
+                        f.write(data)
+                        size, checksum = size + len(data), zlib.crc32(data, checksum)
+                        row = next(rows, None)
+
+            move_in(fs, f"{base}/{name}", fill)
+            yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([name]), pa.array([size]), pa.array([checksum])], names=["out_file", "name", "n_bytes", "checksum"])
+
+    ordered = chunks.select("out_file", "part", "content").sortWithinPartitions("out_file", "part").select("out_file", "content")
+    target = path if "://" in path else f"file://{base}"
+    ordered.mapInArrow(write, "out_file bigint, name string, n_bytes bigint, checksum bigint").write.mode("overwrite").parquet(f"{target}/{MANIFEST}")
+    return spark.read.parquet(f"{target}/{MANIFEST}")
+
+
+def read_back(manifest: DataFrame, path: str) -> DataFrame:
+    """The manifest with what is on disk: found_bytes, found_checksum and lines of each file; null where there is none."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base, _ = place(path)
+        for batch in batches:
+            found: list[tuple] = []
+            for name in batch["name"].to_pylist():
+                if not fs.get_file_info(f"{base}/{name}").type:
+                    found.append((None, None, None))
+                    continue
+                size = checksum = lines = 0
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
+                    while data := f.read(CHUNK_BYTES):
+                        size, checksum, lines = size + len(data), zlib.crc32(data, checksum), lines + data.count(b"\n")
+                found.append((size, checksum, lines))
+            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("out_file", "name", "n_bytes", "checksum")), *columns], names=["out_file", "name", "n_bytes", "checksum", "found_bytes", "found_checksum", "lines"])
+
+    rows = manifest.select("out_file", "name", "n_bytes", "checksum").where("name is not null")
+    return rows.mapInArrow(read, "out_file bigint, name string, n_bytes bigint, checksum bigint, found_bytes bigint, found_checksum bigint, lines bigint")
 
 
 def verify_compacted(spark: SparkSession, chunks: DataFrame, path: str) -> dict[str, int]:
-    """Compare what was written with the parts: bytes and lines. Raises LengthMismatch if they differ."""
-    want = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first().b
-    got = spark.read.text(path).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).alias("b")).first()
-    if got.b != want:
-        raise LengthMismatch(f"{got.b} bytes on disk, {want} planned")
-    return {"bytes": got.b, "records": got.n}
+    """Compare what is on disk with the checksums noted while writing, and those with the parts: outputs, bytes, each part's checksum.
+
+    Raises LengthMismatch if anything differs. chunks are computed again, unless they are a table.
+    """
+    _, base, _ = place(path)
+    manifest = spark.read.parquet(f"{path if '://' in path else f'file://{base}'}/{MANIFEST}")
+    disk = read_back(manifest, path)
+    wrong = disk.where("not (n_bytes <=> found_bytes and checksum <=> found_checksum)").limit(5).collect()
+    if wrong:
+        raise LengthMismatch(f"on disk is not what was written: {[r.name for r in wrong]}")
+    want = chunks.groupBy("out_file").agg(F.sum("n_bytes").alias("want"))
+    wrong = want.join(manifest, "out_file", "full").where("not (want <=> n_bytes)").limit(5).collect()
+    if wrong:
+        raise LengthMismatch(f"outputs differ from their parts: {[(r.out_file, r.want, r.n_bytes) for r in wrong]}")
+    got = disk.agg(F.coalesce(F.sum("found_bytes"), F.lit(0)).alias("b"), F.coalesce(F.sum("lines"), F.lit(0)).alias("n"), F.count("*").alias("f")).first()
+    return {"bytes": got.b, "records": got.n, "files": got.f}

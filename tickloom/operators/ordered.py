@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickloom.runtime import materialize
+
 #: Positions of an integer order in one bucket.
 BUCKET = 65_536
 
@@ -25,6 +27,20 @@ def text_bucket(order: Column, length: int = 3) -> Column:
     return F.substring(order, 1, length)
 
 
+def spread_bucket(df: DataFrame, order: str, rows: int = BUCKET) -> Column:
+    """int_bucket() for numbers of any density: so wide that buckets hold about `rows` rows each. Looks at the numbers once."""
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    return int_bucket(F.col(order), max(1, (high - low + 1) * rows // n) if n else rows)
+
+
+def ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """df with `_bucket`, which follows the order whatever its values: range partitions, as a table, so that every pass sees the same.
+
+    Rows of equal order are in one bucket; texts with a common head are not put together by it.
+    """
+    return materialize(df.repartitionByRange(*order).withColumn("_bucket", F.spark_partition_id()), "ranged")
+
+
 def running(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str, value: Column, how: str = "sum", inclusive: bool = False) -> DataFrame:
     """Add the running sum, min or max of value over the rows before each row (inclusive: and itself).
 

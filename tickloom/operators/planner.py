@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.ordered import int_bucket, numbered, running, text_bucket
+from tickloom.operators.ordered import numbered, ranged, running, spread_bucket
 
 PLANNED_FIELDS = ("tasks", "max_episodes_per_task")
 
@@ -46,7 +46,7 @@ def next_index(df: DataFrame, column: str) -> DataFrame:
 def extend_task_index(known: DataFrame, tasks: DataFrame, task: str = "task", index: str = "task_index") -> DataFrame:
     """task, task_index and is_new: known tasks keep their index, new ones follow in sorted order."""
     new = tasks.where(F.col(task).isNotNull()).select(task).distinct().join(known, task, "left_anti")
-    placed = numbered(new, [], [task], text_bucket(F.col(task)), "_p").crossJoin(F.broadcast(next_index(known, index)))
+    placed = numbered(ranged(new, [task]), [], [task], F.col("_bucket"), "_p").crossJoin(F.broadcast(next_index(known, index)))
     added = placed.select(task, (F.col("next_index") + F.col("_p")).alias(index), F.lit(True).alias("is_new"))
     return known.select(task, F.col(index).cast("bigint").alias(index), F.lit(False).alias("is_new")).unionByName(added)
 
@@ -68,7 +68,7 @@ def plan(requested: DataFrame, manifest: DataFrame, key: str, task: str, index:
 
 def compact(survivors: DataFrame, order: str, start: int | DataFrame = 0, name: str = "new_index") -> DataFrame:
     """Surviving episodes renumbered without gaps from start, in order of their old integer number."""
-    out = numbered(survivors, [], [order], int_bucket(F.col(order)), name)
+    out = numbered(survivors, [], [order], spread_bucket(survivors, order), name)
     if isinstance(start, DataFrame):
         return out.crossJoin(F.broadcast(start)).withColumn(name, F.col(name) + F.col("next_index")).drop("next_index")
     return out.withColumn(name, F.col(name) + F.lit(start))
@@ -76,7 +76,7 @@ def compact(survivors: DataFrame, order: str, start: int | DataFrame = 0, name:
 
 def with_offsets(episodes: DataFrame, index: str = "episode_index", length: str = "length") -> DataFrame:
     """Add `offset`, the rows of all episodes before this one. A null length counts 0."""
-    return running(episodes, [], [index], int_bucket(F.col(index)), "offset", F.coalesce(F.col(length), F.lit(0)).cast("bigint"))
+    return running(episodes, [], [index], spread_bucket(episodes, index), "offset", F.coalesce(F.col(length), F.lit(0)).cast("bigint"))
 
 
 def global_index(frames: DataFrame, offsets: DataFrame, index: str = "episode_index") -> DataFrame:

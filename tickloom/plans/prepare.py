@@ -1,7 +1,9 @@
 """From raw messages to an episode dataset: discover, select, plan, align, write.
 
 Messages are rows of episode_id, topic, log_time, seq, value and, with cameras,
-data (the bytes of a camera message) and format (its codec; may be absent).
+data (the bytes of a camera message) and format (its codec; may be absent). A row
+with a non-null `error`, if there is such a column, says that the recording could
+not be read to its end: its episode is refused as a whole.
 Messages without a column data hold no cameras: of them state and action are
 converted alone.
 """
@@ -18,6 +20,10 @@ from tickloom.sources import root as dataset
 from tickloom.sources.root import CAMERA_FRAME
 
 
+#: Rejected episodes that are named in what prepare() returns.
+REPORTED = 100
+
+
 def _vector_topics(schema: RobotSchema) -> list[str]:
     return [n for n, _ in (*schema.state_components, *schema.action_components)]
 
@@ -76,14 +82,21 @@ def aligned_frames(messages: DataFrame, schema: RobotSchema) -> DataFrame:
 
 
 def rejects(messages: DataFrame, schema: RobotSchema) -> DataFrame:
-    """episode_id and reason of episodes that cannot be converted; the others are not held up by them."""
+    """episode_id and reason of episodes that cannot be converted; the others are not held up by them. Episodes are those that messages or error rows name."""
     names = [*_vector_topics(schema), *(f"camera {c}" for c in _cameras(messages, schema))]
     signals = _signals(messages, schema)
     all_episodes = messages.select("episode_id", F.lit(None).cast("string").alias("topic")).distinct()
     # messages that were not decoded have no value and are none
     lacking = align.missing_topics(signals.select("episode_id", F.when(F.col("value").isNotNull(), F.col("topic")).alias("topic")).unionByName(all_episodes), "episode_id", "topic", names).select("episode_id", F.concat(F.lit("no message of "), "topic").alias("reason"))
     short = align.spans_of(signals, ["episode_id"], "log_time").where("start_ns = end_ns").select("episode_id", F.lit("too short").alias("reason"))
-    return lacking.unionByName(short)
+    return lacking.unionByName(short).unionByName(_broken(messages))
+
+
+def _broken(messages: DataFrame) -> DataFrame:
+    """episode_id and reason of recordings that could not be read to their end."""
+    if "error" not in messages.columns:
+        return messages.limit(0).select("episode_id", F.lit("").alias("reason"))
+    return messages.where(F.col("error").isNotNull()).groupBy("episode_id").agg(F.concat(F.lit("broken recording: "), F.min("error")).alias("reason"))
 
 
 def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema: RobotSchema, tasks: list[str], cap: int, root: str, image_size: tuple[int, int] = (224, 224), reconvert: bool = False, strict: bool = False) -> dict:
@@ -92,7 +105,9 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     listing: path, listing_pos and episode_id. A dataset that already is what is
     asked for is left alone. Episodes that were converted before keep number and
     task_index; if the request drops one, or the fingerprint differs in a field
-    that changes the frames, all is converted anew. Failed episodes leave no gap.
+    that changes the frames, all is converted anew. Failed episodes leave no gap;
+    info["rejected"] names at most REPORTED of them, meta/rejects.json all. The
+    dataset is written beside the old one, which goes when the new one is whole.
     Camera frames are stored as they were recorded, once each, see write_root().
     """
     params = conversion_params(schema, tasks, cap, image_size)
@@ -100,7 +115,7 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
     if cameras:
         params["camera_frames"] = "encoded"
     if not reconvert and dataset.is_prepared(root, params):
-        return dataset.read_info(root)
+        return {**dataset.read_info(root), "rejected": _reported(spark, root)}
     named = catalog.task_catalog(listing, "path", schema.options.get("mcap", {}).get("episode_filename", ""))
     chosen = catalog.select_episodes(named, tasks, "path_task", "listing_pos", cap)
     request = chosen.select(F.col("path").alias("rel_path"), F.col("path_task").alias("task"), "episode_id", "listing_pos")
@@ -114,13 +129,18 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
         plan = planner.plan(request, before, "rel_path", "task", "episode_index")
     topics = [*_vector_topics(schema), *(t for c in cameras for t in schema.camera_topics[c])]
     # recordings are read once; what follows passes over them several times, mostly without the camera data
-    messages = _held(messages.where(F.col("topic").isin(topics)).join(plan.to_convert.select("episode_id"), "episode_id", "left_semi"))
-    frames = aligned_frames(messages, schema)
+    used = F.col("topic").isin(topics) | F.col("error").isNotNull() if "error" in messages.columns else F.col("topic").isin(topics)
+    messages = _held(messages.where(used).join(plan.to_convert.select("episode_id"), "episode_id", "left_semi"))
+    failed = _held(rejects(messages, schema))
+    if "error" in messages.columns:
+        messages = messages.join(_broken(messages).select("episode_id"), "episode_id", "left_anti")
+    frames = _held(aligned_frames(messages, schema))
     lengths = frames.groupBy("episode_id").agg(F.count("*").alias("length"))
     done = plan.to_convert.join(lengths, "episode_id")  # episodes without frames failed
     order = numbered(done, [], ["listing_pos"], int_bucket(F.col("listing_pos")), "_p").crossJoin(F.broadcast(plan.next_episode_index))
-    index = plan.task_index.select("task", "task_index")
+    index = _held(plan.task_index.select("task", "task_index"))
     converted = order.withColumn("episode_index", F.col("next_index") + F.col("_p")).join(index, "task").select("rel_path", "episode_id", "task", "episode_index", "task_index", "length")
+    converted = _held(converted)
     new_frames = frames.join(converted.select("episode_id", "episode_index", "task_index"), "episode_id")
     all_frames = _narrow(new_frames)
     shown = camera_frames(messages, schema).join(converted.select("episode_id", "episode_index"), "episode_id").drop("episode_id") if cameras else None
@@ -129,10 +149,17 @@ def prepare(spark: SparkSession, messages: DataFrame, listing: DataFrame, schema
         if cameras:
             shown = _held(dataset.read_cameras(spark, root)).unionByName(shown)
     manifest = _held(planner.merge_manifest(before, converted.select(empty.columns)))
-    all_frames = _held(all_frames)
-    if dataset.dataset_exists(root):
-        dataset.wipe(root)
-    return dataset.write_root(all_frames, index, schema, root, params, manifest, shown)
+    beside = f"{root.rstrip('/')}.new"
+    dataset.wipe(beside)
+    info = dataset.write_root(all_frames, index, schema, beside, params, manifest, shown)
+    dataset.write_rejects(failed, beside)
+    dataset.swap(beside, root)
+    spark.catalog.refreshByPath(root)
+    return {**info, "rejected": _reported(spark, root)}
+
+
+def _reported(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    return [tuple(r) for r in dataset.read_rejects(spark, root).orderBy("episode_id", "reason").limit(REPORTED).collect()]
 
 
 def _narrow(frames: DataFrame) -> DataFrame:

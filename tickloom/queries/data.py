@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.compaction import compact, unique_records
+from tickloom.operators.compaction import compact, consolidate, records, unique_records
 from tickloom.operators.grid import regular_grid
 from tickloom.operators.spikes import implausible_readings
 from tickloom.queries.tables import table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings off the rolling median of 15 frames by more than k MADs of their source, out of its bounds, or stuck."""
     return implausible_readings(table(spark, sf_dir, "frames"), table(spark, sf_dir, "manifest"))
 
 
@@ -34,16 +39,40 @@ def p4_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unique_records(table(spark, sf_dir, "record_files")).select("episode_index", "length")
+    return unique_records(table(spark, sf_dir, "record_files"), size="size_bytes").select("episode_index", "length")
 
 
 def p6_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consolidated files: size, records and checksum of each part."""
-    parts = compact(table(spark, sf_dir, "record_files"))
-    return parts.select("out_file", "part", F.col("n_files").alias("n_records"), "n_bytes", "checksum")
+    """The consolidated files: outputs, lines and records that they hold, and whether each line is a record."""
+    parts = compact(table(spark, sf_dir, "record_files"), size="size_bytes")
+    held = records(parts).groupBy("episode_index", "length").agg(F.count("*").alias("times"))
+    lines = parts.agg(F.count_distinct("out_file").alias("n_outputs"), F.coalesce(F.sum("n_files"), F.lit(0)).alias("n_lines"))
+    return held.agg(F.count("*").alias("n_records"), F.coalesce(F.max("times"), F.lit(0)).alias("most_often")).crossJoin(lines)
+
+
+def p6_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiny files of zstandard frames joined as they are: files taken, and bytes that come out of the joined frames."""
+    files = table(spark, sf_dir, "record_files").select("file_id", F.col("body").cast("binary").alias("body")).where(F.octet_length("body") > 0)
+    joined = consolidate(files.mapInArrow(_packed, "file_id bigint, body binary"), frames=True)
+    return joined.mapInArrow(_unpacked, "n_files bigint, n_bytes bigint").agg(F.coalesce(F.sum("n_files"), F.lit(0)).alias("n_files"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor().compress
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch["file_id"], pa.array([pack(x) for x in batch["body"].to_pylist()], pa.binary())], names=["file_id", "body"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = []
+        for content in batch["content"].to_pylist():
+            reader = zstandard.ZstdDecompressor().stream_reader(content, read_across_frames=True)
+            sizes.append(sum(len(x) for x in iter(lambda reader=reader: reader.read(1 << 20), b"")))
+        yield pa.RecordBatch.from_arrays([batch["n_files"], pa.array(sizes, pa.int64())], names=["n_files", "n_bytes"])
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_grid": p4_grid, "p6_found": p6_found, "p6_compact": p6_compact}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_grid": p4_grid, "p6_found": p6_found, "p6_compact": p6_compact, "p6_zstd": p6_zstd}
 
 SQL = {
     "p4_found": """
@@ -99,4 +128,15 @@ SQL = {
                CAST(CAST(json_extract(line, '$.length') AS DOUBLE) AS BIGINT) AS length
         FROM objects
         WHERE json_type(line, '$.episode_index') IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND json_type(line, '$.length') IN ('UBIGINT', 'BIGINT', 'DOUBLE')""",
+    "p6_compact": r"""
+        WITH found AS (WITH lines AS (
+            SELECT trim(unnest(string_split_regex(body, '\r\n|\n|\r')), chr(65279) || chr(9) || ' ') AS line FROM record_files),
+          objects AS (SELECT line FROM lines WHERE line LIKE '{%' AND json_valid(line))
+          SELECT DISTINCT CAST(CAST(json_extract(line, '$.episode_index') AS DOUBLE) AS BIGINT) AS episode_index,
+                 CAST(CAST(json_extract(line, '$.length') AS DOUBLE) AS BIGINT) AS length
+          FROM objects
+          WHERE json_type(line, '$.episode_index') IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND json_type(line, '$.length') IN ('UBIGINT', 'BIGINT', 'DOUBLE'))
+        SELECT count(*) AS n_records, CAST(1 AS BIGINT) AS most_often, CAST(1 AS BIGINT) AS n_outputs, count(*) AS n_lines FROM found""",
+    "p6_zstd": """
+        SELECT count(*) AS n_files, CAST(sum(octet_length(encode(body))) AS BIGINT) AS n_bytes FROM record_files WHERE octet_length(encode(body)) > 0""",
 }

@@ -20,12 +20,14 @@ BROADCAST_LIMIT = 48 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: spark.checkpoint.dir, or an own one where it is unset (tests)."""
+    """Folder that all executors share: spark.checkpoint.dir. Only where one machine is all there is may it be unset."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -37,16 +39,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the table instead of repeating the shuffle above it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    folder = tables_dir(spark)
+    fs, root = _hadoop(spark, folder)
+    if folder not in _marked:
+        _marked.add(folder)
+        fs.deleteOnExit(root)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.tickloom_table = path
+    return table
+
+
+_marked: set[str] = set()
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Where the tables of this application are; others that share the folder have their own."""
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def drop(table: DataFrame) -> None:
+    """Delete one table that materialize() gave. Frames that were made from it must be done."""
+    fs, at = _hadoop(table.sparkSession, table.tickloom_table)
+    fs.delete(at, True)
 
 
 def drop_materialized(spark: SparkSession) -> None:
-    """Delete every table that materialize() wrote into this session's shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete every table that this application's materialize() wrote; the end of the driver does so, too."""
+    fs, at = _hadoop(spark, tables_dir(spark))
+    fs.delete(at, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:

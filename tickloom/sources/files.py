@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
@@ -38,3 +40,12 @@ def open_stream(uri: str) -> pa.NativeFile:
     """The file's bytes from front to back; nothing seeks."""
     fs, path, _ = place(uri)
     return fs.open_input_stream(path, compression=None)
+
+
+def move_in(fs: pafs.FileSystem, path: str, write: Callable[[str], None]) -> None:
+    """Write under another name, then rename: nobody sees half a file, and a repeated task leaves one."""
+    folder, _, name = path.rpartition("/")
+    fs.create_dir(folder, recursive=True)
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    write(part)
+    fs.move(part, path)

@@ -17,7 +17,6 @@ from __future__ import annotations
 import itertools
 import json
 import os
-import uuid
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
@@ -31,6 +30,7 @@ from tickloom.operators import images
 from tickloom.operators.chunk import action_chunks
 from tickloom.operators.planner import global_index, missing_tasks, with_offsets
 from tickloom.schema import RobotSchema
+from tickloom.sources.files import move_in
 
 #: Fixed values of the layout.
 CHUNK_FILES = 1000
@@ -40,7 +40,7 @@ CAMERA_PATH = "videos/{key}/chunk-000/file-{file:06d}.parquet"
 #: Columns of data/ with the number of the camera frame that a row shows.
 CAMERA_FRAME = "camera_frame."
 CAMERA_ROWS = pa.schema([("episode_index", pa.int64()), ("camera", pa.string()), ("frame", pa.int64()), ("log_time", pa.int64()), ("format", pa.string()), ("data", pa.binary())])
-PARAMS, MANIFEST, INFO = "meta/conversion_params.json", "meta/episode_manifest.json", "meta/info.json"
+PARAMS, MANIFEST, INFO, REJECTS = "meta/conversion_params.json", "meta/episode_manifest.json", "meta/info.json", "meta/rejects.json"
 
 
 class UnsafeRoot(ValueError):
@@ -84,15 +84,6 @@ def _get(root: str, rel: str):
         return json.loads(f.read())
 
 
-def _move_in(fs: pafs.FileSystem, path: str, write) -> None:
-    """Write under another name, then rename: nobody sees half a file, and a repeated task leaves one."""
-    folder, _, name = path.rpartition("/")
-    fs.create_dir(folder, recursive=True)
-    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    write(part)
-    fs.move(part, path)
-
-
 def _put(root: str, rel: str, content: object) -> None:
     fs, base = _place(root)
 
@@ -100,7 +91,7 @@ def _put(root: str, rel: str, content: object) -> None:
         with fs.open_output_stream(part) as f:
             f.write(json.dumps(content, indent=1).encode())
 
-    _move_in(fs, f"{base}/{rel}", write)
+    move_in(fs, f"{base}/{rel}", write)
 
 
 def wipe(root: str) -> None:
@@ -118,6 +109,43 @@ def wipe(root: str) -> None:
         fs.delete_dir(base)
 
 
+def swap(new: str, root: str) -> None:
+    """Put the complete dataset new in the place of root. Until then root is as it was; a dataset that is there goes last."""
+    fs, base = _place(root)
+    _, beside = _place(new)
+    old = f"{base}.old"
+    if fs.get_file_info(old).type != pafs.FileType.NotFound:
+        fs.delete_dir(old)  # left by a run that ended here
+    if fs.get_file_info(base).type != pafs.FileType.NotFound:
+        if not _exists(root, PARAMS) and fs.get_file_info(pafs.FileSelector(base)):
+            raise UnsafeRoot(f"{root} has no {PARAMS}; it is no dataset")
+        _move_dir(fs, base, old)
+    _move_dir(fs, beside, base)
+    if fs.get_file_info(old).type != pafs.FileType.NotFound:
+        fs.delete_dir(old)
+
+
+def _move_dir(fs: pafs.FileSystem, source: str, target: str) -> None:
+    """Rename a folder; object stores, which have none, copy its files."""
+    if isinstance(fs, pafs.S3FileSystem):
+        pafs.copy_files(source, target, source_filesystem=fs, destination_filesystem=fs)
+        fs.delete_dir(source)
+    else:
+        fs.move(source, target)
+
+
+def write_rejects(rejects: DataFrame, root: str) -> None:
+    """Keep episode_id and reason of what was not converted with the dataset."""
+    uri = root if "://" in root else _place(root)[1]
+    rejects.write.mode("overwrite").json(f"{uri}/{REJECTS}")
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """episode_id and reason of what was not converted when the dataset was written last."""
+    kinds = "episode_id string, reason string"
+    return spark.read.schema(kinds).json(f"{root}/{REJECTS}") if _exists(root, REJECTS) else spark.createDataFrame([], kinds)
+
+
 def read_params(root: str) -> dict | None:
     return _get(root, PARAMS)
 
@@ -172,7 +200,7 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
                     return table.slice(at)
                 number = int(episode[at])
                 rows = table.slice(at, end - at).rename_columns(names)
-                _move_in(fs, f"{base}/{DATA_PATH.format(chunk=number // CHUNK_FILES, file=number)}", lambda part, rows=rows: pq.write_table(rows, part, filesystem=fs))
+                move_in(fs, f"{base}/{DATA_PATH.format(chunk=number // CHUNK_FILES, file=number)}", lambda part, rows=rows: pq.write_table(rows, part, filesystem=fs))
                 at = end
             return None
 
@@ -201,7 +229,7 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
         "total_frames": int(total), "total_episodes": lengths.count(), "fps": schema.tick_fps, "data_path": DATA_PATH, "video_path": VIDEO_PATH if cameras is None else CAMERA_PATH,
         "features": {
             "observation.state": {"dtype": "float32", "shape": [schema.state_dim]}, "action": {"dtype": "float32", "shape": [schema.action_dim]},
-            **{f"observation.images.{c}": {"dtype": "video", "shape": [3, *params.get("image_size", [0, 0])]} for c in schema.camera_keys},
+            **{c: {"dtype": "video", "shape": [*params.get("image_size", [0, 0]), 3]} for c in schema.camera_keys},
             **{c: {"dtype": "int64", "shape": [1]} for c in frames.columns if c.startswith(CAMERA_FRAME)},
         },
     }
@@ -232,7 +260,7 @@ def _write_cameras(cameras: DataFrame, root: str) -> None:
                         n += b.num_rows
                         out.write_table(pa.Table.from_batches([b]).cast(CAMERA_ROWS))
 
-            _move_in(fs, f"{base}/{CAMERA_PATH.format(key=camera, file=number)}", fill)
+            move_in(fs, f"{base}/{CAMERA_PATH.format(key=camera, file=number)}", fill)
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     ordered = cameras.select(*names).repartition("episode_index", "camera").sortWithinPartitions("episode_index", "camera", "frame")
