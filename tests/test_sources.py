@@ -304,3 +304,67 @@ def test_training_rows_keep_depth_and_images(spark, tmp_path, small):
     assert (r["depth.other"], r["camera_frame.top"], r.action) == ([1, 9], 3, [[1.0, 0.0], [2.0, 0.0]])
     with pytest.raises(ValueError, match="no depth"):
         root.read_training_rows(spark, target, 2, ["other"])
+
+
+def test_files_are_numbered_by_path(spark, tmp_path):
+    for name, size in (("d", 10), ("a", 200), ("c", 90_000), ("b", 5000)):
+        (tmp_path / f"{name}.mcap").write_bytes(b"x" * size)
+    got = listing.numbered_files(listing.list_files(spark, str(tmp_path))).collect()
+    assert sorted((r.listing_pos, r.path[-6:], r["size"]) for r in got) == [(0, "a.mcap", 200), (1, "b.mcap", 5000), (2, "c.mcap", 90_000), (3, "d.mcap", 10)]
+
+
+def test_a_failed_run_leaves_the_dataset(spark, tmp_path, small, monkeypatch):
+    target, names = str(tmp_path / "set"), [("fold", "e0"), ("fold", "e1")]
+    messages = recorded(spark, ["e0", "e1"])
+    run = lambda cap: prep.prepare(spark, messages, listed(spark, names), small, ["fold"], cap, target)
+    info = run(1)
+    monkeypatch.setattr(root, "write_rejects", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(2)
+    assert root.read_info(target) == {k: v for k, v in info.items() if k != "rejected"} and root.read_frames(spark, target).count() == 6
+    monkeypatch.undo()
+    assert run(2)["total_episodes"] == 2 and sorted(p.name for p in tmp_path.iterdir()) == ["set"]
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "mine").write_text("x")
+    with pytest.raises(root.UnsafeRoot):
+        prep.prepare(spark, messages, listed(spark, names), small, ["fold"], 1, str(tmp_path / "other"))
+
+
+PLUG_IN = """
+import struct
+
+def halves(message, schema):
+    return [x / 2 for x in struct.unpack(f"<{len(message) // 2}h", message)]
+"""
+
+
+def test_cli_in_a_session_of_its_own(tmp_path):
+    """Recordings in a plug-in encoding, one of them broken off, converted by the command in a process without any of the tests' settings."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = str(Path(__file__).resolve().parent.parent)
+    (tmp_path / "code").mkdir()
+    (tmp_path / "code" / "plugin_of_a_user.py").write_text(PLUG_IN)
+    s = schema.load_schema("packline")
+    vectors = dict((*s.state_components, *s.action_components))
+    for e in ("e0", "e1", "e2"):
+        folder = tmp_path / f"in/data/train/fold/episode_{e}"
+        folder.mkdir(parents=True)
+        rows = [(t, 10**9 + k * 50_000_000, struct.pack(f"<{n}h", *[k] * n)) for t, n in vectors.items() for k in range(12)]
+        rows += [(t, 10**9 + k * 100_000_000, f"{e}{t}{k}".encode()) for topics in s.camera_topics.values() for t in topics[:1] for k in range(5)]
+        mcap.write_mcap(folder / "episode.mcap", rows, encoding="halves", compression="zstd")
+    broken = tmp_path / "in/data/train/fold/episode_e1/episode.mcap"
+    broken.write_bytes(broken.read_bytes()[:-40])
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_CONF_DIR")} | {"PYTHONPATH": f"{tmp_path / 'code'}", "PYSPARK_PYTHON": sys.executable}
+    run = f"import sys; sys.path.insert(0, {repo!r}); from tickloom import cli; sys.exit(cli.main(sys.argv[1:]))"
+    done = subprocess.run([sys.executable, "-c", run, "prepare", "--dataset-source", "packline", "--source-uri", str(tmp_path / "in"), "--tasks", "fold", "--root", str(tmp_path / "out"), "--decoders", "halves=plugin_of_a_user:halves"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=280, check=False)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "2 episodes" in done.stdout and "rejected: e1: broken recording" in done.stdout
+    frames = sorted((tmp_path / "out/data").rglob("*.parquet"))
+    assert len(frames) == 2 and (tmp_path / "out/meta/rejects.json").is_dir()
+    import pyarrow.parquet as pq
+
+    assert pq.read_table(frames[0])["action"][3][0].as_py() in (0.5, 1.0, 1.5)

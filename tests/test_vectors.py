@@ -14,15 +14,13 @@ ACTION = (("a", 1), ("b", 2), ("c", 2), ("wide", 2))
 def test_positions_and_plan():
     assert actions.offsets(ACTION)["c"] == (3, 2)
     assert actions.positions(ACTION, [("c", 2), ("a", 1)]) == [3, 4, 0]
-    gather, mask = actions.relative_plan(ACTION, STATE, exclude=["a"])
-    assert mask == [False, False, False, True, True, False, False]
-    assert gather[3:5] == [0, 1]
+    assert actions.state_positions(ACTION, STATE, exclude=["a"]) == [None, None, None, 0, 1, None, None]
 
 
 def test_relative_chunk_subtracts_the_anchor_state(spark):
-    gather, mask = actions.relative_plan((("a", 1), ("b", 1)), (("x", 1), ("a", 1)))
+    at = actions.state_positions((("a", 1), ("b", 1)), (("x", 1), ("a", 1)))
     df = spark.createDataFrame([([[1.0, 5.0], [4.0, 6.0], None], [9.0, 0.5])], "chunk array<array<double>>, state array<double>")
-    assert df.select(actions.relative_chunk(F.col("chunk"), F.col("state"), gather, mask)).first()[0] == [[0.5, 5.0], [3.5, 6.0], None]
+    assert df.select(actions.relative_chunk(F.col("chunk"), F.col("state"), at)).first()[0] == [[0.5, 5.0], [3.5, 6.0], None]
 
 
 def test_select_actions_no_op_and_nulls(spark):

@@ -13,16 +13,16 @@ from tickloom.functions.scalars import even_positions
 from tickloom.operators import catalog, chunk, metrics, stats
 from tickloom.plans.prepare import prepare
 from tickloom.sources import listing, root
-from tickloom.sources.mcap import McapSource
+from tickloom.sources import mcap
 
 
 def _session() -> SparkSession:
-    return SparkSession.builder.appName("tickloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    return SparkSession.builder.appName("tickloom").config("spark.sql.session.timeZone", "UTC").config("spark.sql.python.filterPushdown.enabled", "true").getOrCreate()
 
 
 def _episodes(spark: SparkSession, uri: str, glob: str):
-    files = listing.list_files(spark, uri, glob).withColumn("path", F.regexp_replace("path", "^.*?(?=data/)", ""))
-    return files.withColumn("listing_pos", F.monotonically_increasing_id()).withColumn("episode_id", F.regexp_extract("path", "episode_([^/]+)", 1))
+    files = listing.numbered_files(listing.list_files(spark, uri, glob).withColumn("path", F.regexp_replace("path", "^.*?(?=data/)", "")))
+    return files.withColumn("episode_id", F.regexp_extract("path", "episode_([^/]+)", 1))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--max-episodes-per-task", type=int, default=300)
     p.add_argument("--root")
     p.add_argument("--reconvert", action="store_true")
+    p.add_argument("--decoders", help="encoding=module:function,... of messages in other encodings")
     p = sub.add_parser("verify", help="ranges, padding and evenly spaced frames of a dataset")
     p.add_argument("root")
     p.add_argument("--chunk", type=int, default=50)
@@ -57,15 +58,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "discover":
         catalog.task_counts(catalog.task_catalog(_episodes(spark, args.uri, args.glob)), "path_task").show(1000, False)
     elif args.command == "prepare":
-        spark.dataSource.register(McapSource)
         s = schemas.load_schema(args.dataset_source)
         cameras = [t for topics in s.camera_topics.values() for t in topics]
         topics = ",".join([*(n for n, _ in (*s.state_components, *s.action_components)), *cameras])
         declared = s.options.get("mcap") or {}
         fields = {k: declared[d] for k, d in (("value_field", "state_value_field"), ("data_field", "camera_data_field"), ("format_field", "camera_format_field")) if d in declared}
-        messages = spark.read.format("mcap").options(topics=topics, raw=",".join(cameras), **fields).load(args.source_uri).where("topic is not null")
+        if args.decoders:
+            fields["decoders"] = args.decoders
+        messages = mcap.read(spark, args.source_uri, topics=topics, raw=",".join(cameras), **fields)
         info = prepare(spark, messages, _episodes(spark, args.source_uri, "*.mcap"), s, args.tasks, args.max_episodes_per_task, root.resolve_root(args.root, args.dataset_source, args.tasks), reconvert=args.reconvert)
         print(f"{info['total_episodes']} episodes, {info['total_frames']} frames")
+        for episode, reason in info["rejected"]:
+            print(f"rejected: {episode}: {reason}")
     elif args.command == "verify":
         rows = root.read_training_rows(spark, args.root, args.chunk)
         stats.vector_stats(rows, "observation.state").orderBy("pos").show(100, False)

@@ -42,24 +42,21 @@ def select_actions(df: DataFrame, column: str, at: list[int], dim: int, chunked:
     return df.withColumn(column, F.transform(c, lambda step: take(step, at)) if chunked else take(c, at))
 
 
-def relative_plan(action: Components, state: Components, exclude: Sequence[str] = ()) -> tuple[list[int], list[bool]]:
-    """For each action position the state position of the component of that name, and whether it is made relative.
+def state_positions(action: Components, state: Components, exclude: Sequence[str] = ()) -> list[int | None]:
+    """For each action position that of the state it is relative to, or None if it stays absolute.
 
     Components are matched by name, not by place. Excluded ones, and ones
     without a state component of the same name and width, stay absolute.
     """
-    where = offsets(state)
-    gather, mask = [], []
-    for name, dim in action:
-        relative = name in where and where[name][1] == dim and name not in exclude
-        for i in range(dim):
-            gather.append(where[name][0] + i if relative else 0)
-            mask.append(relative)
-    return gather, mask
-
-
-def relative_chunk(chunk: Column, state: Column, gather: list[int], mask: list[bool]) -> Column:
-    """Every step of a chunk minus the state at the chunk's own tick, where mask says so; padded steps too."""
-    return F.transform(
-        chunk, lambda step: F.when(step.isNotNull(), F.array(*(F.get(step, F.lit(i)) - F.get(state, F.lit(g)) if m else F.get(step, F.lit(i)) for i, (g, m) in enumerate(zip(gather, mask, strict=True)))))
-    )
+    begins = {name: begin for name, (begin, dim) in offsets(state).items() if (name, dim) in set(action) and name not in exclude}
+    return [begins[name] + i if name in begins else None for name, dim in action for i in range(dim)]
+
+
+def relative_chunk(chunk: Column, state: Column, at: list[int | None]) -> Column:
+    """Every step of a chunk minus the state at the chunk's own tick, where a state position is given; padded steps too."""
+
+    def moved(step: Column) -> Column:
+        numbers = [F.get(step, F.lit(i)) if a is None else F.get(step, F.lit(i)) - F.get(state, F.lit(a)) for i, a in enumerate(at)]
+        return F.when(step.isNotNull(), F.array(*numbers))
+
+    return F.transform(chunk, moved)

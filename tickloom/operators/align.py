@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.operators.ordered import asof
+from tickloom.operators.ordered import asof, int_bucket
 
 #: Ticks in one stretch of a series.
 STRETCH = 8192
@@ -45,16 +44,28 @@ def align_topics(messages: DataFrame, key: str, topic: str, time: str, tie: str,
 
     value is a number or an array (arrays are concatenated). Episodes that lack
     one of the topics, or have no length, are left out; see missing_topics().
+    Ticks and messages of all topics pass one window per stretch of an episode,
+    which keeps the last message of each topic; a stretch hands on one row.
     """
-    rows = messages.where(F.col(topic).isin(wanted) & F.col(time).isNotNull() & F.col(value).isNotNull())
-    whole = rows.groupBy(key).agg(F.count_distinct(topic).alias("_n")).where(F.col("_n") == len(wanted)).select(key)
-    grid = tick_grid(spans_of(messages.join(whole, key, "left_semi"), [key], time), step, name=time).select(key, time)
-    keyed = reduce(DataFrame.unionByName, [grid.withColumn(topic, F.lit(w)) for w in wanted])
-    aligned = asof(keyed, rows.select(key, topic, time, tie, value), [key, topic], time, [tie], value, step * STRETCH, "_v")
-    order = F.create_map(*(F.lit(x) for i, w in enumerate(wanted) for x in (w, i)))
-    one = F.col("_v") if dict(messages.dtypes)[value].startswith("array") else F.array("_v")
-    parts = aligned.groupBy(key, time).agg(F.array_sort(F.collect_list(F.struct(order[F.col(topic)].alias("i"), one.alias("v")))).alias("_parts"))
-    return parts.select(key, F.col(time).alias("tick_ns"), F.flatten("_parts.v").alias("vector"))
+    valid = F.col(topic).isin(wanted) & F.col(time).isNotNull() & F.col(value).isNotNull()
+    spans = messages.groupBy(key).agg(F.min(time).alias("start_ns"), F.max(time).alias("end_ns"), F.count_distinct(F.when(valid, F.col(topic))).alias("_n"))
+    grid = tick_grid(spans.where(F.col("_n") == len(wanted)).drop("_n"), step, name="_t")
+    events = messages.where(valid).select(key, F.col(time).alias("_t"), F.lit(0).alias("_tick"), F.col(tie).alias("_tie"), F.col(topic).alias("_topic"), F.struct(F.col(value).alias("v")).alias("_event"))
+    nothing = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ("_tie", "_topic", "_event")]
+    both = events.unionByName(grid.select(key, "_t", F.lit(1).alias("_tick"), *nothing)).withColumn("_part", F.struct(F.col(key).alias("k"), int_bucket(F.col("_t"), step * STRETCH).alias("b")))
+    inside = W.partitionBy("_part").orderBy("_t", "_tick", "_tie").rowsBetween(W.unboundedPreceding, 0)
+    of = [F.when(F.col("_topic") == w, F.col("_event")) for w in wanted]
+    local = both.select("_part", "_t", "_tick", *(F.last(x, ignorenulls=True).over(inside).alias(f"_now{i}") for i, x in enumerate(of)))
+    place = [F.when(F.col("_topic") == w, F.struct("_t", "_tie")) for w in wanted]
+    ends = both.groupBy("_part").agg(*(f("_event", p).alias(f"{name}{i}") for i, p in enumerate(place) for name, f in (("_last", F.max_by), ("_first", F.min_by))))
+    series = W.partitionBy("_part.k").orderBy("_part.b")
+    earlier, later = series.rowsBetween(W.unboundedPreceding, -1), series.rowsBetween(0, W.unboundedFollowing)
+    handed = ends.select(
+        "_part", *(F.coalesce(F.last(f"_last{i}", ignorenulls=True).over(earlier), F.first(f"_first{i}", ignorenulls=True).over(later)).alias(f"_other{i}") for i in range(len(wanted)))
+    )
+    found = [F.coalesce(f"_now{i}", f"_other{i}")["v"] for i in range(len(wanted))]
+    parts = found if dict(messages.dtypes)[value].startswith("array") else [F.array(x) for x in found]
+    return local.where("_tick = 1").join(handed, "_part").select(F.col("_part.k").alias(key), F.col("_t").alias("tick_ns"), F.concat(*parts).alias("vector"))
 
 
 def missing_topics(messages: DataFrame, key: str, topic: str, wanted: list[str]) -> DataFrame:

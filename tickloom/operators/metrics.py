@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.catalog import first_n
 from tickloom.operators.ordered import int_bucket, running
+from tickloom.runtime import lookup_join
 
 
 def window_means(metrics: DataFrame, keys: list[str], step: str, epoch: str, value: str, size: int) -> DataFrame:
@@ -83,7 +84,7 @@ def common_batches(batches: DataFrame, rank: str, cap: int | None = None) -> Dat
 
 def led(decisions: DataFrame, ranks: DataFrame, keys: list[str], rank: str, leader: int = 0) -> DataFrame:
     """Every rank with the decision of the leader."""
-    return ranks.join(F.broadcast(decisions.where(F.col(rank) == leader).drop(rank)), keys, "left")
+    return lookup_join(ranks, decisions.where(F.col(rank) == leader).drop(rank), keys, "left", size_of=decisions)
 
 
 def resume_epoch(checkpoints: DataFrame, keys: list[str], step: str, epoch: str, complete: str) -> DataFrame:

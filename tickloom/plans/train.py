@@ -39,8 +39,8 @@ def training_rows(spark: SparkSession, schema: RobotSchema, request: TrainReques
         rows = split.only_split(rows, "episode_index", side, request.val_fraction, request.test_fraction, request.seed)
     rows = actions.select_actions(rows, "action", schema.action_positions(chosen), schema.action_dim)
     if request.relative:
-        gather, mask = actions.relative_plan(chosen.action_components, chosen.state_components, request.relative_exclude)
-        rows = rows.withColumn("action", actions.relative_chunk(F.col("action"), F.col("`observation.state`"), gather, mask))
+        at = actions.state_positions(chosen.action_components, chosen.state_components, request.relative_exclude)
+        rows = rows.withColumn("action", actions.relative_chunk(F.col("action"), F.col("`observation.state`"), at))
     return rows
 
 

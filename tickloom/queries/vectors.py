@@ -25,9 +25,9 @@ def action_space_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delta_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chunk of the vector and its reverse, relative to the vector as a state with components in another order."""
-    gather, mask = actions.relative_plan(PARTS, STATE_PARTS, exclude=())
+    at = actions.state_positions(PARTS, STATE_PARTS)
     chunk = F.array(F.col("v"), F.reverse("v"))
-    rows = _vectors(spark, sf_dir).select("vec_id", actions.relative_chunk(chunk, F.col("v"), gather, mask).alias("chunk"))
+    rows = _vectors(spark, sf_dir).select("vec_id", actions.relative_chunk(chunk, F.col("v"), at).alias("chunk"))
     return rows.select("vec_id", F.posexplode("chunk").alias("step", "a")).select("vec_id", "step", F.posexplode("a").alias("pos", "value"))
 
 

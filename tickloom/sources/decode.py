@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import CODECS
 from tickloom.functions.udf import flat_map, tolerant
+from tickloom.runtime import lookup_join
 
 
 class MissingDecoder(RuntimeError):
@@ -162,15 +163,19 @@ def nearest_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def depth_rows(members: DataFrame, height: int, width: int) -> DataFrame:
-    """Depth images (name, content) numbered in the order of the digits in their names: episode folder, frame_index, depth, error."""
+    """Depth images (name, content) numbered in the order of the digits in their names: episode folder, frame_index, depth, error.
+
+    Names are numbered without their bytes, then joined to them; a name that stands twice has one number.
+    """
     from pyspark.sql import Window as W
 
     from tickloom.functions.scalars import trailing_number
 
     folder = F.regexp_extract("name", r"^(.*)/[^/]*$", 1)
     order = W.partitionBy("folder").orderBy("number", "name")
-    numbered = members.select("name", "content", folder.alias("folder"), trailing_number(F.col("name")).alias("number")).where("number is not null")
-    placed = numbered.withColumn("frame_index", (F.row_number().over(order) - 1).cast("bigint"))
+    numbered = members.select("name", folder.alias("folder"), trailing_number(F.col("name")).alias("number")).where("number is not null").distinct()
+    names = numbered.withColumn("frame_index", (F.row_number().over(order) - 1).cast("bigint")).drop("number")
+    placed = lookup_join(members.select("name", "content"), names, "name", size_of=members.select("name"))
 
     def rows(row: dict) -> Iterator[dict]:
         image = np.asarray(library("PIL.Image").open(io.BytesIO(row["content"])))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordered import numbered, ranged
+
 TASK_INFO = (
     "episode_id bigint, task_name string, init_scene_text string, "
     "label_info struct<action_config: array<struct<start_frame: bigint, end_frame: bigint, action_text: string, skill: string>>>"
@@ -16,10 +18,15 @@ HISTORY = (
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """path and size of all files below root; contents are not read. The order of paths is the listing order."""
+    """path and size of all files below root, in no order; contents are not read. See numbered_files()."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", F.col("length").alias("size"))
 
 
+def numbered_files(files: DataFrame) -> DataFrame:
+    """Files with listing_pos, their place in the order of paths: the same however Spark packs files into partitions."""
+    return numbered(ranged(files, ["path"]), [], ["path"], F.col("_bucket"), "listing_pos").drop("_bucket")
+
+
 def cached_listing(spark: SparkSession, root: str, cache: str, glob: str = "*", refresh: bool = False) -> DataFrame:
     """The listing kept as a table at cache; made anew if it is missing or refresh is set."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache)

@@ -1,15 +1,21 @@
 """MCAP recordings as a Spark data source, by the public file format; one partition a file.
 
+    read(spark, "/recordings", topics="/a,/b")
+
+or, in any session,
+
     spark.dataSource.register(McapSource)
     spark.read.format("mcap").option("topics", "/a,/b").load("/recordings")
 
 Columns: episode_id (the folder 'episode_<id>' of the file, else its path),
 path, topic, log_time, seq (place in the file), value, data and format. Only
-records of wanted topics are decoded; a filter on topic is pushed down. A message
-becomes a vector if its encoding is json (a list, or an object with a list
-`value`), f64 (little-endian doubles), protobuf (the field that the option
-`value_field` names, by the file's own descriptors), or one that is added to
-DECODERS; other bytes stay in `data`. Topics in the option `raw` are cameras:
+records of wanted topics are decoded; a filter on topic is pushed down where the
+session allows it (option `pushdown`, which read() sets). A message becomes a
+vector if its encoding is json (a list, or an object with a list `value`), f64
+(little-endian doubles), protobuf (the field that the option `value_field` names,
+by the file's own descriptors), or one that the option `decoders` names as
+encoding=module:function, separated by commas; workers import the function, which
+takes a message and its schema. Other bytes stay in `data`. Topics in the option `raw` are cameras:
 `data` and `format` are those fields of a protobuf message (options `data_field`,
 `format_field`), the whole message in other encodings. A file that breaks off or
 holds a message that cannot be read gives what was read, then a row with `error`.
@@ -25,11 +31,14 @@ import json
 import re
 import struct
 from collections.abc import Callable, Iterator
+from importlib import import_module
 from pathlib import Path
 from typing import BinaryIO
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
+from tickloom.runtime import ship
 from tickloom.sources.files import files_below, open_stream
 
 # Fixed values of the file format.
@@ -47,8 +56,15 @@ def _f64_vector(data: bytes, _: bytes) -> list[float]:
     return list(struct.unpack(f"<{len(data) // 8}d", data))
 
 
-#: Message encoding -> decoder of (message, schema) to a vector.
-DECODERS: dict[str, Callable[[bytes, bytes], list[float] | None]] = {"json": _json_vector, "f64": _f64_vector}
+Decoder = Callable[[bytes, bytes], list[float] | None]
+#: Message encoding -> decoder of (message, schema) to a vector, of those that need no option.
+DECODERS: dict[str, Decoder] = {"json": _json_vector, "f64": _f64_vector}
+
+
+def decoder_at(place: str) -> Decoder:
+    """The function that 'module:function' names."""
+    module, _, name = place.partition(":")
+    return getattr(import_module(module), name)
 
 
 class BrokenFile(ValueError):
@@ -174,22 +190,20 @@ class _McapReader(DataSourceReader):
         self.topics: set[str] | None = listed("topics") or None
         self.raw = listed("raw")
         self.root, self.suffix = options.get("path", ""), options.get("suffix", ".mcap")
+        self.named: dict[str, str] = dict(part.strip().split("=", 1) for part in options.get("decoders", "").split(",") if part.strip())
+        self.found: dict[str, Decoder] = {}
         self.value_field, self.data_field, self.format_field = (options.get(k, d) for k, d in (("value_field", "position"), ("data_field", "data"), ("format_field", "format")))
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            names = {f.value} if isinstance(f, EqualTo) and f.attribute == ("topic",) else set(f.value) if isinstance(f, In) and f.attribute == ("topic",) else None
-            if names is None:
-                yield f
-            else:
-                self.topics = names if self.topics is None else self.topics & names
-
     def partitions(self) -> list[InputPartition]:
         return [_File(p) for p in files_below(self.root, self.suffix)]
 
     def _decoded(self, topic: str, encoding: str, name: str, schema: bytes, data: bytes) -> tuple[list[float] | None, bytes | None, str | None]:
         """value, data and format of a message."""
-        if encoding == "protobuf" and encoding not in DECODERS:
+        if encoding in self.named and topic not in self.raw:
+            if encoding not in self.found:
+                self.found[encoding] = decoder_at(self.named[encoding])
+            return self.found[encoding](data, schema), None, None
+        if encoding == "protobuf":
             from tickloom.sources import protobuf
 
             m = protobuf.parsed(data, name, schema)
@@ -206,8 +220,20 @@ class _McapReader(DataSourceReader):
             with open_stream(path) as f:
                 for topic, log_time, seq, *message in streamed_messages(f, self.topics):
                     yield episode_id(path), path, topic, log_time, seq, *self._decoded(topic, *message), None
-        except (BrokenFile, ValueError, OSError, struct.error) as e:
-            yield episode_id(path), path, None, None, None, None, None, None, str(e)
+        except Exception as e:  # a decoder may raise anything; the file's other rows and other files go on
+            yield episode_id(path), path, None, None, None, None, None, None, str(e) or type(e).__name__
+
+
+class _PushingReader(_McapReader):
+    """Takes filters on topic. A session that does not allow that refuses any reader with this method."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            names = {f.value} if isinstance(f, EqualTo) and f.attribute == ("topic",) else set(f.value) if isinstance(f, In) and f.attribute == ("topic",) else None
+            if names is None:
+                yield f
+            else:
+                self.topics = names if self.topics is None else self.topics & names
 
 
 class McapSource(DataSource):
@@ -219,4 +245,12 @@ class McapSource(DataSource):
         return "episode_id string, path string, topic string, log_time bigint, seq bigint, value array<double>, data binary, format string, error string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _McapReader(self.options)
+        return (_PushingReader if self.options.get("pushdown", "").lower() == "true" else _McapReader)(self.options)
+
+
+def read(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Recordings below path, with filters on topic pushed down if the session allows it."""
+    ship(spark)
+    spark.dataSource.register(McapSource)
+    allowed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    return spark.read.format("mcap").options(**{"pushdown": allowed, **options}).load(path)
