@@ -87,6 +87,11 @@ def led(decisions: DataFrame, ranks: DataFrame, keys: list[str], rank: str, lead
     return lookup_join(ranks, decisions.where(F.col(rank) == leader).drop(rank), keys, "left", size_of=decisions)
 
 
+def due(step: Column, every: int) -> Column:
+    """Whether something that is done every so many steps falls due at this one; never if every is 0."""
+    return step % every == 0 if every > 0 else F.lit(False)
+
+
 def resume_epoch(checkpoints: DataFrame, keys: list[str], step: str, epoch: str, complete: str) -> DataFrame:
     """Epoch to go on with: that of the latest checkpoint if it was cut short, else the next. Unknown counts as complete."""
     last = checkpoints.groupBy(*keys).agg(F.max_by(F.struct(F.col(epoch).alias("e"), F.coalesce(F.col(complete), F.lit(True)).alias("c")), step).alias("l"))

@@ -116,8 +116,10 @@ def renumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = table(spark, sf_dir, "manifest").where("task_index is not null")
-    return planner.missing_tasks(used, table(spark, sf_dir, "tasks").select("task_index"))
+    """Task numbers in use whose task nobody has written as the tasks table spells it."""
+    manifest = table(spark, sf_dir, "manifest")
+    known = table(spark, sf_dir, "tasks").join(manifest.select("task").distinct(), "task", "left_semi").select("task_index")
+    return planner.missing_tasks(manifest.where("task_index is not null"), known)
 
 
 def dataset_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +181,7 @@ SQL = {
         FROM (SELECT DISTINCT episode_index, frame_index FROM frames)""",
     "renumbered": """WITH m AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders WHERE o_orderstatus <> 'F')
         SELECT m.n AS episode_index, l_linenumber, l_partkey FROM lineitem JOIN m ON l_orderkey = o_orderkey""",
-    "missing_tasks": "SELECT DISTINCT task_index FROM manifest WHERE task_index IS NOT NULL AND task_index NOT IN (SELECT task_index FROM tasks)",
+    "missing_tasks": "SELECT DISTINCT task_index FROM manifest WHERE task_index IS NOT NULL AND task_index NOT IN (SELECT task_index FROM tasks WHERE task IN (SELECT task FROM manifest))",
     "dataset_totals": """SELECT dataset_source, count(*) AS n_episodes, sum(length)::BIGINT AS n_frames
         FROM (SELECT episode_index, dataset_source, max(length) AS length FROM manifest GROUP BY 1, 2) GROUP BY 1""",
     "frame_tasks": "SELECT t.task, count(*) AS n FROM frames f JOIN tasks t USING (task_index) GROUP BY t.task_index, t.task",

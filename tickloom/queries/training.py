@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import scalars
 from tickloom.operators import metrics
 from tickloom.queries.tables import table
+from tickloom.schema import schemas_of
 
 WINDOW = 50
 EPOCH = 1730
@@ -67,7 +68,7 @@ def resume_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What falls due at each step: a log line, a validation pass, a prediction."""
     s = F.col("step")
-    return _metrics(spark, sf_dir).select("step", (s % 10 == 0).alias("log"), (s % 500 == 0).alias("validate"), (s % 750 == 0).alias("predict"))
+    return _metrics(spark, sf_dir).select("step", metrics.due(s, 10).alias("log"), metrics.due(s, 500).alias("validate"), metrics.due(s, 750).alias("predict"))
 
 
 def metric_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +111,10 @@ def memory_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared widths of each source and the sum of its components'."""
-    total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["dim"])
-    return table(spark, sf_dir, "robot_schemas").select("dataset_source", "state_dim", "action_dim", total("state_components").alias("state_sum"), total("action_components").alias("action_sum"))
+    """Declared widths of each source and those of its schema, the sums of its components'."""
+    declared = table(spark, sf_dir, "robot_schemas")
+    sums = [(s.dataset_source, s.state_dim, s.action_dim) for s in schemas_of(declared).values()]
+    return declared.select("dataset_source", "state_dim", "action_dim").join(spark.createDataFrame(sums, "dataset_source string, state_sum int, action_sum int"), "dataset_source")
 
 
 def uri_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

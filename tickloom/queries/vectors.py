@@ -74,8 +74,8 @@ def channel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges of the state components of all frames; NaN counts as the greatest number."""
-    frames = table(spark, sf_dir, "frames").select(F.posexplode("`observation.state`").alias("pos", "x"))
-    return frames.groupBy("pos").agg(F.min("x").alias("least"), F.sum(F.isnan("x").cast("int")).alias("n_nan"), F.count("x").alias("n"))
+    ranges = stats.vector_stats(table(spark, sf_dir, "frames"), "observation.state")
+    return ranges.select("pos", F.col("min").alias("least"), F.isnan("max").alias("has_nan"), "n")
 
 
 QUERIES = {
@@ -101,5 +101,5 @@ SQL = {
     "state_stats_head": f"WITH {_FLAT} SELECT pos, {_STATS} FROM v WHERE vec_id IN (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 300) GROUP BY 1",
     "channel_stats": f"WITH {_FLAT} SELECT pos % 4 AS channel, {_STATS} FROM v GROUP BY 1",
     "vector_ranges": """WITH f AS (SELECT unnest(range(0, len("observation.state")))::INT AS pos, unnest("observation.state") AS x FROM frames)
-        SELECT pos, min(x) AS least, count(*) FILTER (WHERE isnan(x)) AS n_nan, count(x) AS n FROM f GROUP BY 1""",
+        SELECT pos, min(x)::DOUBLE AS least, count(*) FILTER (WHERE isnan(x)) > 0 AS has_nan, count(x) AS n FROM f GROUP BY 1""",
 }
