@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.leaks import find_leaks
 from tickloom.llm.nearest import camera_states
-from tickloom.llm.quantiles import day_sketches, frame_percentiles, percentiles_of_days
+from tickloom.llm.quantiles import SHARES, day_sketches, frame_percentiles, percentiles_of_days
 from tickloom.llm.spans import shared_spans
 from tickloom.llm.splits import episode_groups, split_episodes
 from tickloom.llm.tokens import token_ids
+from tickloom.operators.frames import episode_sources
 from tickloom.queries.tables import table
-from tickloom.runtime import materialize
+from tickloom.runtime import lookup_join, materialize
 
 
 def p1_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,26 @@ def p1_percentiles_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return percentiles_of_days(materialize(days, "day-sketches"))
 
 
+def p1_rank_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every percentile against all readings: whether its rank is within rank_error of the wanted one."""
+    frames, manifest = table(spark, sf_dir, "frames"), table(spark, sf_dir, "manifest")
+    found = materialize(frame_percentiles(frames, manifest), "percentiles")
+    keys = ["dataset_source", "feature", "component"]
+    # a row a source and component, whatever the number of frames
+    wanted = F.broadcast(found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("q", "value", "n", "rank_error"))).alias("wanted")))
+    rows = lookup_join(frames.dropDuplicates(["episode_index", "frame_index"]), episode_sources(manifest), "episode_index", size_of=manifest)
+    vectors = F.explode(F.create_map(F.lit("observation.state"), F.col("`observation.state`"), F.lit("action"), F.col("action"))).alias("feature", "v")
+    readings = rows.select("dataset_source", vectors).select("dataset_source", "feature", F.posexplode("v").alias("component", "x")).where("x is not null and not isnan(x) and abs(x) < float('inf')")
+    value = [F.get("wanted", F.lit(i))["value"] for i in range(len(SHARES))]
+    sums = [F.sum((F.col("x") < v).cast("bigint")).alias(f"below{i}") for i, v in enumerate(value)] + [F.sum((F.col("x") <= v).cast("bigint")).alias(f"upto{i}") for i, v in enumerate(value)]
+    exact = readings.join(wanted, keys).groupBy(*keys).agg(F.first("wanted").alias("wanted"), F.count("*").alias("exact_n"), *sums)
+    ranks = F.arrays_zip("wanted", F.array(*(f"below{i}" for i in range(len(SHARES)))).alias("below"), F.array(*(f"upto{i}" for i in range(len(SHARES)))).alias("upto"))
+    each = exact.select(*keys, "exact_n", F.explode(ranks).alias("z")).select(*keys, "exact_n", "z.wanted.*", "z.below", "z.upto")
+    rank = F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n")))
+    within = (F.col("n") == F.col("exact_n")) & (rank > F.col("below") - F.col("rank_error")) & (rank <= F.col("upto") + F.col("rank_error")) & (F.col("upto") > F.col("below"))
+    return each.select("dataset_source", "feature", F.col("component").cast("bigint").alias("component"), "q", "n", within.alias("within"), (F.col("rank_error") < 0.01 * F.col("n")).alias("small"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return episode_groups(table(spark, sf_dir, "manifest"), table(spark, sf_dir, "tasks")).select("episode_index", "group_index")
 
@@ -57,6 +78,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_percentiles": p1_percentiles,
     "p1_percentiles_of_days": p1_percentiles_of_days,
+    "p1_rank_check": p1_rank_check,
     "p3_found": p3_found,
     "p3_splits": p3_splits,
     "p5_found": p5_found,
@@ -67,6 +89,23 @@ QUERIES = {
 }
 
 SQL = {
+    "p1_rank_check": """
+        WITH sources AS (SELECT episode_index, min(dataset_source) AS dataset_source FROM manifest WHERE episode_index IS NOT NULL AND dataset_source IS NOT NULL GROUP BY 1),
+        once AS (SELECT episode_index, frame_index, any_value("observation.state") AS s, any_value(action) AS a FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY 1, 2),
+        vectors AS (SELECT dataset_source, 'observation.state' AS feature, s AS v FROM once JOIN sources USING (episode_index)
+                    UNION ALL SELECT dataset_source, 'action', a FROM once JOIN sources USING (episode_index)),
+        readings AS (SELECT dataset_source, feature, unnest(range(0, len(v))) AS component, unnest(v) AS x FROM vectors),
+        counts AS (SELECT dataset_source, feature, component, count(*) AS n FROM readings WHERE x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x) GROUP BY 1, 2, 3)
+        SELECT dataset_source, feature, component, q, n, TRUE AS within, TRUE AS small FROM counts CROSS JOIN (SELECT unnest([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])::DOUBLE AS q)""",
+    "p9_found": """
+        WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 100),
+        parts AS (SELECT doc_id, n, unnest(range(0, n, 1000)) AS o, text FROM d),
+        cut AS (SELECT doc_id, n, o, substr(text, o + 1, 1099) AS part FROM parts),
+        windows AS (SELECT doc_id, o + k AS i, substr(part, k + 1, 100) AS s FROM (SELECT *, unnest(range(0, least(1000, n - 99 - o))) AS k FROM cut WHERE n - 99 - o > 0)),
+        shared AS (SELECT s FROM windows GROUP BY 1 HAVING min(doc_id) <> max(doc_id)),
+        found AS (SELECT DISTINCT w.doc_id, w.i FROM windows w SEMI JOIN shared USING (s)),
+        gaps AS (SELECT doc_id, least(100, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i), 100)) AS fresh FROM found)
+        SELECT doc_id, CAST(sum(fresh) AS BIGINT) AS shared_chars FROM gaps GROUP BY 1""",
     "p5_found": """
         WITH spans AS (SELECT DISTINCT episode_id, start_ns, end_ns FROM recordings WHERE end_ns > start_ns),
         shots AS (
