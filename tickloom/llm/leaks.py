@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.runtime import lookup_join, materialize
+from tickloom.runtime import lookup_join, materialize, ship
 
 PASSAGE = 13
 BUDGET = 1
@@ -286,6 +286,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, passage: int = PASSAGE, budget
     """
     if not 0 <= budget < passage <= 64:
         raise ValueError("the budget must be smaller than the passage, which has at most 64 words")
+    ship(docs.sparkSession)
     wanted = items.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     kept = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     passages = materialize(item_passages(wanted, passage, short), "leak-passages")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.grid import readings, recording_spans
+from tickloom.runtime import ship
 
 #: ns in one stretch of an entity.
 STRETCH = 120_000_000_000
@@ -42,6 +43,7 @@ def nearest(
         raise ValueError("stretch must be more than twice the tolerance, which must not be negative")
     if {left_out, right_out} & set(keys) or left_out == right_out or {"_stretch", "_t", "_side", "_l", "_r"} & set(keys):
         raise ValueError(f"the names of keys and results clash: {keys}, {left_out}, {right_out}")
+    ship(left.sparkSession)
     l_type, r_type = left.schema[left_id].dataType.simpleString(), right.schema[right_id].dataType.simpleString()
 
     def side(df: DataFrame, own: str, number: int, stretches: Column) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from tickloom.operators.frames import frame_blocks, unpack
+from tickloom.runtime import ship
 
 K = 1024
 FAN_IN = 4
@@ -200,6 +201,7 @@ def merge_sketches(parts: DataFrame, keys: list[str], n_parts: int, k: int = K,
     n_parts bounds the values of `part` per key; dtype is that of the readings. Each round sends at most
     MERGE_FAN_IN of them to one place; a task holds one sketch at a time.
     """
+    ship(parts.sparkSession)
     types = _arrow_types(parts, keys)
     schema = f"{_columns(parts, keys)}, {PARTS}"
 
@@ -235,6 +237,7 @@ def read_quantiles(parts: DataFrame, keys: list[str], shares: list[float], k: in
 
 def sketch_column(df: DataFrame, keys: list[str], value: str, k: int = K, fan_in: int = FAN_IN) -> DataFrame:
     """Partial sketches of a numeric column, per key and partition. Null, NaN and infinite readings are not counted."""
+    ship(df.sparkSession)
     names = list(keys)
     types = _arrow_types(df, names)
 

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tickloom.runtime import fits_broadcast, lookup_join, materialize
+from tickloom.runtime import fits_broadcast, lookup_join, materialize, ship
 
 SPAN = 100
 #: Code points hashed at a time; a longer text is hashed stretch by stretch.
@@ -390,6 +390,7 @@ def shared_spans(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text
     """
     if span < 2:
         raise ValueError("span must be at least 2")
+    ship(docs.sparkSession)
     texts, copied = distinct_texts(docs, span, doc_id, text)
     meeting = _seeds(texts, span, False).groupBy("hash").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), F.count("*").alias("_n"))
     common = materialize(meeting.where("_lo <> _hi").select("hash", (F.col("_n") > together).alias("many")), "span-meeting")

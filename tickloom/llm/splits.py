@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.runtime import lookup_join, shared_dir
+from tickloom.runtime import lookup_join, shared_dir, ship
 
 #: Bins per vector, groups that one task balances, and vectors that one task combines.
 BINS = 120
@@ -99,6 +99,7 @@ def episode_groups(manifest: DataFrame, tasks: DataFrame) -> DataFrame:
     gives to any task of the group, null if it names none. Rows with a null
     episode_index are no episodes. Repeated rows and repeated tasks count once.
     """
+    ship(manifest.sparkSession)
     named = tasks.where("task_index is not null and task is not null").select("task_index", task_keys("task").alias("key")).distinct()
     by_index = named.groupBy("task_index").agg(F.min("key").alias("index_key"))
     rows = manifest.where("episode_index is not null").select(
@@ -213,6 +214,7 @@ def split_groups(groups: DataFrame, splits: dict[str, float] | None = None, bins
     one task, unless parts says how many; the parts' vectors are combined in
     rounds of VECTORS_AT_ONCE. Null or negative weights count as 0.
     """
+    ship(groups.sparkSession)
     splits = splits or SPLITS
     if not splits or min(splits.values()) <= 0:
         raise ValueError("every split needs a positive share")

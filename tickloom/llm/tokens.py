@@ -19,6 +19,8 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
+from tickloom.runtime import ship
+
 TOKENIZERS = os.environ.get("TICKLOOM_TOKENIZERS", "/opt/tokenizers")
 
 #: Fixed value: the public pattern that the vocabulary was made with.
@@ -174,6 +176,7 @@ def encoder(content: bytes) -> Encoder:
 
 def token_ids(docs: DataFrame, rank_file: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ids (array<int>) of each row; null and empty texts have the ids []. Rows are kept one by one, repeats too."""
+    ship(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(rank_file_bytes(rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
 
@@ -193,6 +196,7 @@ def token_ids(docs: DataFrame, rank_file: str | None = None, doc_id: str = "doc_
 
 def token_bytes(ids: DataFrame, rank_file: str | None = None) -> DataFrame:
     """doc_id and the raw bytes that its ids stand for."""
+    ship(ids.sparkSession)
     ranks = ids.sparkSession.sparkContext.broadcast(rank_file_bytes(rank_file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
