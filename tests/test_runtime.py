@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ def test_tables_in_the_shared_folder(spark):
     folder = runtime.tables_dir(spark).removeprefix("file:")
     assert os.path.isdir(folder) and spark.sparkContext.applicationId in folder
     one, other = runtime.materialize(spark.range(3), "one"), runtime.materialize(spark.range(4), "other")
-    foreign = folder.rsplit("/", 1)[0] + "/another-application/x"
+    foreign = folder.rsplit("/", 1)[0] + f"/another-application-{uuid.uuid4().hex}"
     os.makedirs(foreign)
     runtime.drop(one)
     assert other.count() == 4 and not any(x.startswith("one-") for x in os.listdir(folder))
     runtime.drop_materialized(spark)
     assert not os.path.exists(folder) and os.path.exists(foreign)
+    os.rmdir(foreign)
 
 
 def test_a_cluster_must_name_its_shared_folder():
@@ -56,3 +58,24 @@ def test_block_keys(spark):
     rows = spark.createDataFrame([(x,) for x in (0, 3, 8, 9, 10, 12, 19, 20)], "x bigint")
     got = {r.x: r.b for r in rows.select("x", runtime.block_keys(F.col("x"), 10, 2).alias("b")).collect()}
     assert got == {0: [0], 3: [0], 8: [0, 1], 9: [0, 1], 10: [0, 1], 12: [1], 19: [1, 2], 20: [1, 2]}
+
+
+def test_operators_reach_workers_without_the_package_there(tmp_path):
+    """A direct call in a process whose workers know nothing of this repository."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = str(Path(__file__).resolve().parent.parent)
+    run = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from tickloom.operators.compaction import consolidate
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate()
+files = spark.createDataFrame([(1, "a"), (2, "b")], "file_id bigint, body string")
+print([bytes(r.content) for r in consolidate(files).collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", run], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120, check=False)
+    assert "b'a\\nb\\n'" in done.stdout, done.stderr[-2000:]

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.runtime import ship
 from tickloom.sources.files import move_in, place
 
 BOM = b"\xef\xbb\xbf"
@@ -127,6 +128,7 @@ def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, key: str = "
     frames: bodies are files of complete zstandard frames. Others cannot be
     joined and are left out; see incomplete_frames().
     """
+    ship(files.sparkSession)
     held = _held(files, key, body)
     if frames:
         held = held.where(_complete("body"))
@@ -150,6 +152,7 @@ def _complete(body: str) -> Column:
 
 def incomplete_frames(files: DataFrame, key: str = "file_id", body: str = "body") -> DataFrame:
     """The keys of files that hold anything but complete zstandard frames."""
+    ship(files.sparkSession)
     return _held(files, key, body).where(~_complete("body")).select(F.col("key").alias(key))
 
 
@@ -269,6 +272,7 @@ def records(chunks: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
+    ship(chunks.sparkSession)
     return chunks.mapInArrow(read, "episode_index bigint, length bigint, line binary, out_file bigint, part int, number int")
 
 
@@ -297,6 +301,7 @@ def write_compacted(chunks: DataFrame, path: str, suffix: str = ".jsonl") -> Dat
     committer. A path that has one already is refused.
     """
     spark = chunks.sparkSession
+    ship(spark)
     fs, base, _ = place(path)
     if fs.get_file_info(f"{base}/{MANIFEST}/_SUCCESS").type:
         raise FileExistsError(f"{path} holds files already")
@@ -346,6 +351,7 @@ def read_back(manifest: DataFrame, path: str) -> DataFrame:
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("out_file", "name", "n_bytes", "checksum")), *columns], names=["out_file", "name", "n_bytes", "checksum", "found_bytes", "found_checksum", "lines"])
 
+    ship(manifest.sparkSession)
     rows = manifest.select("out_file", "name", "n_bytes", "checksum").where("name is not null")
     return rows.mapInArrow(read, "out_file bigint, name string, n_bytes bigint, checksum bigint, found_bytes bigint, found_checksum bigint, lines bigint")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.runtime import block_keys, lookup_join
+from tickloom.runtime import block_keys, lookup_join, ship
 
 FEATURES = ("observation.state", "action")
 BLOCK = 4096
@@ -68,6 +68,7 @@ def frame_blocks(frames: DataFrame, manifest: DataFrame, block: int = BLOCK, hal
             F.col("action").cast("array<float>").alias("action"),
         )
     )
+    ship(frames.sparkSession)
     sources = episode_sources(manifest)
     rows = lookup_join(rows, day_salts(sources) if by_day else sources.withColumn("salt", F.lit(0)), "episode_index", size_of=sources)
     rows = rows.withColumn("block", F.explode(block_keys(F.col("frame_index"), block, halo)))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import CODECS
 from tickloom.functions.udf import flat_map, tolerant
-from tickloom.runtime import lookup_join
+from tickloom.runtime import lookup_join, ship
 
 
 class MissingDecoder(RuntimeError):
@@ -108,6 +108,7 @@ def stream_rows(frames: DataFrame, keys: list[str], height: int, width: int) ->
     """
     kinds = {k: frames.schema[k].dataType.simpleString() for k in keys}
     names = [*keys, "frame_index", "log_time", "image", "error"]
+    ship(frames.sparkSession)
     usable = frames.where(F.col("data").isNotNull() & F.col("log_time").isNotNull()).select(*keys, "frame", "log_time", "format", "data")
     ends = usable.groupBy(*keys).agg(F.max("log_time").alias("_last"))
     ordered = usable.join(ends, keys).repartition(*keys).sortWithinPartitions(*keys, "log_time", "frame")

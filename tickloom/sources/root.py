@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import images
 from tickloom.operators.chunk import action_chunks
 from tickloom.operators.planner import global_index, missing_tasks, with_offsets
+from tickloom.runtime import ship
 from tickloom.schema import RobotSchema
 from tickloom.sources.files import move_in
 
@@ -172,6 +173,7 @@ def write_root(frames: DataFrame, tasks: DataFrame, schema: RobotSchema, root: s
     depth_shapes: height, width, channels of the flat columns depth.<key>.
     """
     spark = frames.sparkSession
+    ship(spark)
     if lacking := [r.task_index for r in missing_tasks(frames, tasks).limit(5).collect()]:
         raise ValueError(f"frames use tasks that are not listed: {lacking}")
     lengths = frames.groupBy("episode_index").agg(F.count("*").alias("length"), F.min("task_index").alias("task_index"))
