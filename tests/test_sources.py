@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom import cli, schema
 from tickloom.operators import planner
 from tickloom.plans import prepare as prep
-from tickloom.plans import train
+from tickloom.plans import strategies, train
 from tickloom.sources import listing, mcap, root, tar
 from tickloom.streaming import incremental
 
@@ -330,6 +330,28 @@ def test_a_failed_run_leaves_the_dataset(spark, tmp_path, small, monkeypatch):
         prep.prepare(spark, messages, listed(spark, names), small, ["fold"], 1, str(tmp_path / "other"))
 
 
+def test_strategies(spark, tmp_path, small):
+    source, target = str(tmp_path / "source"), str(tmp_path / "copy")
+    frames = spark.createDataFrame([(e, t, 0, [float(t), 1.0], [1.0, 5.0]) for e in range(3) for t in range(4)], "episode_index bigint, frame_index bigint, task_index bigint, `observation.state` array<double>, action array<double>")
+    root.write_root(frames, spark.createDataFrame([(0, "fold")], "task_index bigint, task string"), small, source, {"other": 1})
+    mirrored = schema.RobotSchema(**{**small.__dict__, "ingestion_strategy": "mirror"})
+    request = strategies.Request(source, ["fold"], 5, target)
+    for _ in range(2):  # the second time it is there already
+        assert strategies.run(spark, mirrored, request)["total_frames"] == 12
+    assert root.read_params(target) == schema.conversion_params(mirrored, ["fold"], 5, (224, 224)) and root.read_params(source) == {"other": 1}
+    assert sorted(map(tuple, root.read_frames(spark, target).select("episode_index", "frame_index", "index", "task").collect())) == [(e, t, 4 * e + t, "fold") for e in range(3) for t in range(4)]
+    with pytest.raises(FileNotFoundError):
+        strategies.run(spark, mirrored, strategies.Request(str(tmp_path), ["fold"], 5, str(tmp_path / "none")))
+    own = schema.RobotSchema(**{**small.__dict__, "ingestion_strategy": "own", "options": {"own": {"speed": "2"}}})
+    with pytest.raises(ValueError, match="'own'"):
+        strategies.run(spark, own, request)
+    strategies.register("own", strategies.Strategy(lambda s: s.options["own"], lambda _, s, r, options: {**options, "cap": r.cap}))
+    assert strategies.run(spark, own, strategies.Request("", [], 7, "", options={"more": "x"})) == {"speed": "2", "more": "x", "cap": 7}
+    assert strategies.strategy_of(schema.load_schema("packline")).config(schema.load_schema("packline"))["raw"].startswith("/top")
+    with pytest.raises(Exception, match="h5py|no plan"):
+        strategies.run(spark, schema.load_schema("softhand"), request)
+
+
 PLUG_IN = """
 import struct
 

@@ -11,20 +11,14 @@ from pyspark.sql import functions as F
 from tickloom import schema as schemas
 from tickloom.functions.scalars import even_positions
 from tickloom.operators import catalog, chunk, metrics, stats
-from tickloom.plans.prepare import prepare
+from tickloom.plans import strategies
 from tickloom.sources import listing, root
-from tickloom.sources import mcap
 
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("tickloom").config("spark.sql.session.timeZone", "UTC").config("spark.sql.python.filterPushdown.enabled", "true").getOrCreate()
 
 
-def _episodes(spark: SparkSession, uri: str, glob: str):
-    files = listing.numbered_files(listing.list_files(spark, uri, glob).withColumn("path", F.regexp_replace("path", "^.*?(?=data/)", "")))
-    return files.withColumn("episode_id", F.regexp_extract("path", "episode_([^/]+)", 1))
-
-
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tickloom")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -56,17 +50,12 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = _session()
     if args.command == "discover":
-        catalog.task_counts(catalog.task_catalog(_episodes(spark, args.uri, args.glob)), "path_task").show(1000, False)
+        catalog.task_counts(catalog.task_catalog(strategies.episodes(spark, args.uri, args.glob)), "path_task").show(1000, False)
     elif args.command == "prepare":
         s = schemas.load_schema(args.dataset_source)
-        cameras = [t for topics in s.camera_topics.values() for t in topics]
-        topics = ",".join([*(n for n, _ in (*s.state_components, *s.action_components)), *cameras])
-        declared = s.options.get("mcap") or {}
-        fields = {k: declared[d] for k, d in (("value_field", "state_value_field"), ("data_field", "camera_data_field"), ("format_field", "camera_format_field")) if d in declared}
-        if args.decoders:
-            fields["decoders"] = args.decoders
-        messages = mcap.read(spark, args.source_uri, topics=topics, raw=",".join(cameras), **fields)
-        info = prepare(spark, messages, _episodes(spark, args.source_uri, "*.mcap"), s, args.tasks, args.max_episodes_per_task, root.resolve_root(args.root, args.dataset_source, args.tasks), reconvert=args.reconvert)
+        target = root.resolve_root(args.root, args.dataset_source, args.tasks)
+        options = {"decoders": args.decoders} if args.decoders else {}
+        info = strategies.run(spark, s, strategies.Request(args.source_uri, args.tasks, args.max_episodes_per_task, target, reconvert=args.reconvert, options=options))
         print(f"{info['total_episodes']} episodes, {info['total_frames']} frames")
         for episode, reason in info["rejected"]:
             print(f"rejected: {episode}: {reason}")

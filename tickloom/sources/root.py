@@ -141,6 +141,11 @@ def write_rejects(rejects: DataFrame, root: str) -> None:
     rejects.write.mode("overwrite").json(f"{uri}/{REJECTS}")
 
 
+def stamp(root: str, params: dict) -> None:
+    """Mark a complete dataset with the request that it serves."""
+    _put(root, PARAMS, params)
+
+
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """episode_id and reason of what was not converted when the dataset was written last."""
     kinds = "episode_id string, reason string"
