@@ -31,19 +31,19 @@ def p1_rank_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames, manifest = table(spark, sf_dir, "frames"), table(spark, sf_dir, "manifest")
     found = materialize(frame_percentiles(frames, manifest), "percentiles")
     keys = ["dataset_source", "feature", "component"]
-    # a row a source and component, whatever the number of frames
-    wanted = F.broadcast(found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("q", "value", "n", "rank_error"))).alias("wanted")))
+    # a row a source and component, whatever the number of frames; plain numbers, so that sums stay in the hash aggregate
+    value = [f"v{i}" for i in range(len(SHARES))]
+    wanted = F.broadcast(found.groupBy(*keys).agg(*(F.max(F.when(F.col("q") == q, F.col("value"))).alias(v) for q, v in zip(SHARES, value, strict=True))))
     rows = lookup_join(frames.dropDuplicates(["episode_index", "frame_index"]), episode_sources(manifest), "episode_index", size_of=manifest)
     vectors = F.explode(F.create_map(F.lit("observation.state"), F.col("`observation.state`"), F.lit("action"), F.col("action"))).alias("feature", "v")
     readings = rows.select("dataset_source", vectors).select("dataset_source", "feature", F.posexplode("v").alias("component", "x")).where("x is not null and not isnan(x) and abs(x) < float('inf')")
-    value = [F.get("wanted", F.lit(i))["value"] for i in range(len(SHARES))]
-    sums = [F.sum((F.col("x") < v).cast("bigint")).alias(f"below{i}") for i, v in enumerate(value)] + [F.sum((F.col("x") <= v).cast("bigint")).alias(f"upto{i}") for i, v in enumerate(value)]
-    exact = readings.join(wanted, keys).groupBy(*keys).agg(F.first("wanted").alias("wanted"), F.count("*").alias("exact_n"), *sums)
-    ranks = F.arrays_zip("wanted", F.array(*(f"below{i}" for i in range(len(SHARES)))).alias("below"), F.array(*(f"upto{i}" for i in range(len(SHARES)))).alias("upto"))
-    each = exact.select(*keys, "exact_n", F.explode(ranks).alias("z")).select(*keys, "exact_n", "z.wanted.*", "z.below", "z.upto")
+    count = lambda is_so, name: [F.sum(is_so(F.col(v)).cast("bigint")).alias(f"{name}{i}") for i, v in enumerate(value)]
+    sums = readings.join(wanted, keys).groupBy(*keys).agg(F.count("*").alias("exact_n"), *count(lambda v: F.col("x") < v, "below"), *count(lambda v: F.col("x") <= v, "upto"))
+    each = F.inline(F.array(*(F.struct(F.lit(q).alias("q"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i, q in enumerate(SHARES))))
+    both = sums.select(*keys, "exact_n", each).join(found, [*keys, "q"])
     rank = F.greatest(F.lit(1), F.ceil(F.col("q") * F.col("n")))
     within = (F.col("n") == F.col("exact_n")) & (rank > F.col("below") - F.col("rank_error")) & (rank <= F.col("upto") + F.col("rank_error")) & (F.col("upto") > F.col("below"))
-    return each.select("dataset_source", "feature", F.col("component").cast("bigint").alias("component"), "q", "n", within.alias("within"), (F.col("rank_error") < 0.01 * F.col("n")).alias("small"))
+    return both.select("dataset_source", "feature", F.col("component").cast("bigint").alias("component"), "q", "n", within.alias("within"), (F.col("rank_error") < 0.01 * F.col("n")).alias("small"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
