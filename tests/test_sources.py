@@ -390,3 +390,16 @@ def test_cli_in_a_session_of_its_own(tmp_path):
     import pyarrow.parquet as pq
 
     assert pq.read_table(frames[0])["action"][3][0].as_py() in (0.5, 1.0, 1.5)
+
+
+def test_cli_train_data(spark, tmp_path, capsys):
+    s = schema.load_schema("oldgantry")
+    frames = spark.createDataFrame([(e, t, 0, [float(t)] * s.state_dim, [float(e)] * s.action_dim) for e in range(12) for t in range(4)], "episode_index bigint, frame_index bigint, task_index bigint, `observation.state` array<double>, action array<double>")
+    root.write_root(frames, spark.createDataFrame([(0, "fold")], "task_index bigint, task string"), s, str(tmp_path / "set"), {"image_size": [4, 4]})
+    capsys.readouterr()
+    assert cli.main(["train-data", str(tmp_path / "set"), "--dataset-source", "oldgantry", "--chunk", "3", "--val-fraction", "0.3", "--relative", "--action-space", "arm"]) == 0
+    out = capsys.readouterr().out
+    sides = {side: int(n) for side, n, what in (x.replace(":", "").split()[:3] for x in out.splitlines() if x.endswith("episodes"))}
+    assert set(sides) == {"train", "val"} and sum(sides.values()) == 12 and f"train: {4 * sides['train']} rows" in out
+    assert cli.main(["verify", str(tmp_path / "set"), "--chunk", "3", "--episode", "5"]) == 0
+    assert "|5            |" in capsys.readouterr().out

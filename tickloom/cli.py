@@ -1,4 +1,4 @@
-"""Command line: sources, discover, prepare, verify, history."""
+"""Command line: sources, discover, prepare, verify, train-data, history."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as schemas
 from tickloom.functions.scalars import even_positions
-from tickloom.operators import catalog, chunk, metrics, stats
-from tickloom.plans import strategies
+from tickloom.operators import catalog, chunk, metrics, split, stats
+from tickloom.plans import strategies, train
 from tickloom.sources import listing, root
 
 
@@ -38,6 +38,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("root")
     p.add_argument("--chunk", type=int, default=50)
     p.add_argument("--frames", type=int, default=5)
+    p.add_argument("--episode", type=int, help="look at this episode alone")
+    p = sub.add_parser("train-data", help="the rows that training would read: how many a side has, and their statistics")
+    p.add_argument("root")
+    p.add_argument("--dataset-source", required=True)
+    p.add_argument("--chunk", type=int, default=50)
+    p.add_argument("--action-space")
+    p.add_argument("--relative", action="store_true")
+    p.add_argument("--relative-exclude", nargs="*", default=[])
+    p.add_argument("--val-fraction", type=float, default=0.0)
+    p.add_argument("--test-fraction", type=float, default=0.0)
+    p.add_argument("--seed", type=int, default=0)
+    p.add_argument("--stats-rows", type=int, default=500, help="rows that statistics are taken from, 0 for all")
     p = sub.add_parser("history", help="the last runs")
     p.add_argument("path")
     p.add_argument("--limit", type=int, default=20)
@@ -61,9 +73,24 @@ def main(argv: list[str] | None = None) -> int:
             print(f"rejected: {episode}: {reason}")
     elif args.command == "verify":
         rows = root.read_training_rows(spark, args.root, args.chunk)
+        if args.episode is not None:
+            rows = rows.where(F.col("episode_index") == args.episode)
         stats.vector_stats(rows, "observation.state").orderBy("pos").show(100, False)
         chunk.pad_fraction(rows.select(F.col("action_is_pad").alias("is_pad"))).show()
         rows.groupBy("episode_index").agg(F.count("*").alias("n")).select("episode_index", even_positions(F.col("n"), args.frames).alias("frames")).orderBy("episode_index").show(20, False)
+    elif args.command == "train-data":
+        s = schemas.load_schema(args.dataset_source)
+        request = train.TrainRequest(args.root, args.chunk, args.action_space, args.relative, tuple(args.relative_exclude), args.val_fraction, args.test_fraction, args.seed, args.stats_rows or None)
+        episodes = spark.read.parquet(f"{args.root}/meta/episodes/chunk-000")
+        counts = split.split_counts(episodes, "episode_index", args.val_fraction, args.test_fraction, args.seed)
+        split.check_split(counts, args.val_fraction, args.test_fraction)
+        for row in counts.orderBy("split").collect():
+            print(f"{row['split']}: {row.n_episodes} episodes")
+        rows = train.training_rows(spark, s, request)
+        print(f"train: {rows.count()} rows")
+        for name, found in train.dataset_stats(rows, request.stats_rows).items():
+            print(name)
+            found.orderBy("pos").show(100, False)
     elif args.command == "history":
         runs = metrics.history_tail(listing.run_history(spark, args.path), "timestamp", ["run_name"], args.limit)
         runs.select("timestamp", "run_name", "status", F.try_element_at("metrics", F.lit("loss")).alias("loss")).show(args.limit, False)
