@@ -79,8 +79,12 @@ def frame_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_chunks_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of whole action vectors over the frames table, three ticks ahead, of train episodes. Of repeated rows the greatest vector holds."""
-    frames = table(spark, sf_dir, "frames").select("episode_index", "frame_index", "action").groupBy("episode_index", "frame_index").agg(F.max("action").alias("action"))
+    """Chunks of whole action vectors over the frames table, three ticks ahead, of train episodes.
+
+    Of repeated rows the greatest vector holds. Zeros of both signs are equally great; they come out as 0.0, as in the SQL.
+    """
+    greatest = F.transform(F.max("action"), lambda x: F.when(x == 0, F.lit(0).cast("float")).otherwise(x))
+    frames = table(spark, sf_dir, "frames").select("episode_index", "frame_index", "action").groupBy("episode_index", "frame_index").agg(greatest.alias("action"))
     chunks = chunk.action_chunks(split.only_split(frames, "episode_index", "train", 0.1, 0.1), ["episode_index"], "frame_index", "action", 3)
     return chunks.select("episode_index", "frame_index", "chunk", "is_pad")
 
